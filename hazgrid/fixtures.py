@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.clock import hours_between, moment
+from .functions.grid import has_place, zone_columns
 from .schemas import AIR_UNIT, COUNTRIES, FEATURES, PARAMETERS, ZONE
-from .functions.grid import zone_columns
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
 _PARAMETER_OF = {"purchase": "pm25", "signup": "no2", "click": "o3"}
@@ -212,7 +212,7 @@ def scored(source: DataFrame) -> DataFrame:
 
 def prediction_runs(source: DataFrame) -> DataFrame:
     """Scores of zones over time: many rows per zone, one per event."""
-    placed = _with_place(source).dropna(subset=["lat", "lon"])
+    placed = _with_place(source).filter(has_place())
     return placed.select(
         *zone_columns(),
         F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("ml_risk_score"),
@@ -222,7 +222,7 @@ def prediction_runs(source: DataFrame) -> DataFrame:
 
 def driver_rows(source: DataFrame, as_of: datetime) -> DataFrame:
     """A zone and a signed value per model input for each quake, standing in for attributions."""
-    table = quakes(source).dropna(subset=["lat", "lon"])
+    table = quakes(source).filter(has_place())
     values = {
         "abs_lat": -F.abs("lat"),
         "max_mag_7d": F.col("mag") * 3,

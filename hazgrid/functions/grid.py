@@ -15,6 +15,11 @@ def zone_columns(lat: str = "lat", lon: str = "lon") -> list[Column]:
     return [cell(F.col(lat)).alias("zone_lat"), cell(F.col(lon)).alias("zone_lon")]
 
 
+def has_place(lat: str = "lat", lon: str = "lon") -> Column:
+    """Plain NULL tests, which reach the Parquet scan (``dropna`` becomes a predicate that does not)."""
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull()
+
+
 def on_sphere(lat: Column, lon: Column, radius: float) -> dict[str, Column]:
     """Cartesian position: y through the north pole, x and z around the equator."""
     polar = F.radians(F.lit(90.0) - lat)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import hours_between, moment, since, utc_now
-from ..functions.grid import zone_columns
+from ..functions.grid import has_place, zone_columns
 from ..schemas import FEATURES, LABEL, ZONE
 
 FEATURE_DAYS = 7
@@ -23,7 +23,7 @@ def _is_shallow() -> Column:
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=["lat", "lon"])
+    return df.filter(has_place())
 
 
 def _of(parameter: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encode import fixed
-from ..functions.grid import on_sphere
+from ..functions.grid import has_place, on_sphere
 
 # Fixed values of the map: radii, sizes, colours, and the reading below which air counts as clean.
 QUAKE_RADIUS, FIRE_RADIUS, AIR_RADIUS = 1.01, 1.008, 1.006
@@ -14,7 +14,7 @@ CLEAN_AIR = 25.0
 
 
 def _layer(df: DataFrame, kind: str, radius: float, **look) -> DataFrame:
-    placed = df.dropna(subset=["lat", "lon"])
+    placed = df.filter(has_place())
     place = on_sphere(F.col("lat"), F.col("lon"), radius)
     return placed.select(
         F.lit(kind).alias("type"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import depth_class, frp_class, mag_class
+from ..functions.grid import has_place
 
 
 def _partition_column(df: DataFrame) -> list[str]:
@@ -14,7 +15,7 @@ def _partition_column(df: DataFrame) -> list[str]:
 
 
 def stage_quakes(quakes: DataFrame) -> DataFrame:
-    return quakes.dropna(subset=["mag", "lat", "lon"]).select(
+    return quakes.filter(F.col("mag").isNotNull() & has_place()).select(
         "id", "mag", "place", "lon", "lat", "depth_km",
         F.coalesce("alert", F.lit("none")).alias("alert"),
         "tsunami", "sig", "status", "mag_type", "net", "event_time",
@@ -25,7 +26,7 @@ def stage_quakes(quakes: DataFrame) -> DataFrame:
 
 
 def stage_fires(fires: DataFrame) -> DataFrame:
-    return fires.dropna(subset=["lat", "lon"]).filter(F.col("frp") > 0).select(
+    return fires.filter(has_place() & (F.col("frp") > 0)).select(
         "lat", "lon", "brightness", "frp", "confidence", "satellite", "daynight", "scan", "track", "event_time",
         frp_class(F.col("frp")).alias("frp_class"),
         *_partition_column(fires),
@@ -34,7 +35,7 @@ def stage_fires(fires: DataFrame) -> DataFrame:
 
 def stage_air(air: DataFrame) -> DataFrame:
     wide = [F.when(F.col("parameter") == p, F.col("value")).alias(p) for p in ("pm25", "no2", "o3")]
-    return air.filter(F.col("value") >= 0).dropna(subset=["lat", "lon"]).select(
+    return air.filter((F.col("value") >= 0) & has_place()).select(
         "location_id", "sensor_id", "parameter", "value", "unit", "lat", "lon", "country", "event_time",
         *wide,
         *_partition_column(air),

@@ -42,13 +42,16 @@ def scratch_root(spark: SparkSession) -> str:
 
     A machine-local folder is used only where everything runs on one machine anyway.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if root:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(root)
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="hazgrid-")
-    spark.sparkContext.setCheckpointDir(root)
+    context.setCheckpointDir(root)
     return root
 
 
@@ -64,5 +67,5 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     a lost executor costs a re-read, not a recomputation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.hint("rebalance").write.parquet(path)  # files by size: one for a small table, many for a large one
     return df.sparkSession.read.schema(df.schema).parquet(path)
