@@ -19,11 +19,12 @@ from .fixtures import BaseTables, base_tables
 from .functions.classify import risk_label
 from .functions.clock import moment, with_event_time
 from .functions.encode import tsv_line
+from .ml import explain, model
 from .operators import attribution, dedup, features, markers, metrics, normalize, profile, serving, split, zones
 from .operators.staging import stage_air, stage_fires, stage_quakes
 from .plans import layers
 from .schemas import FEATURES, KINDS, LABEL, STREAM_SCHEMA, ZONE
-from .session import use_utc
+from .session import scratch_path, use_utc
 from .sinks import tables, topics
 from .sources import dimensions
 
@@ -417,5 +418,73 @@ def top_drivers(t):
     return _rounded(unfolded.select("id", "rank", "driver.feature", "driver.value"), "value")
 
 
+# The risk model. Training takes a minute or more, so one stored model per table serves all
+# queries of a session, as the scoring and explaining jobs share one model file.
+
+_STORED: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
+
+
+def _model_query(build: Callable) -> Callable:
+    """Register a query over (path of the stored model, all zones, hold-out zones)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_utc(spark)
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _STORED:
+            t = base_tables(spark, sf_dir)
+            trained = model.train(features.training_set(*_base(t), t.as_of))
+            path = scratch_path(spark, "model")
+            model.save(trained, path, t.as_of)
+            _STORED[key] = (path, trained.zones, trained.holdout)
+        return build(*_STORED[key])
+
+    _QUERIES[build.__name__] = run
+    return build
+
+
+@_model_query
+def ml_score_zones(path, zone_rows, holdout):
+    return model.predictions(model.load(path), zone_rows)
+
+
+@_model_query
+def top_risk_zones(path, zone_rows, holdout):
+    return model.top_zones(model.predictions(model.load(path), zone_rows))
+
+
+@_model_query
+def feature_importance(path, zone_rows, holdout):
+    return model.importances(zone_rows.sparkSession, model.load(path))
+
+
+@_model_query
+def holdout_report(path, zone_rows, holdout):
+    return model.evaluation(model.load(path), holdout)[0]
+
+
+@_model_query
+def holdout_ranking(path, zone_rows, holdout):
+    return model.evaluation(model.load(path), holdout)[1]
+
+
+@_model_query
+def attributions(path, zone_rows, holdout):
+    return explain.attributions(zone_rows, path)
+
+
+@_model_query
+def attribution_long(path, zone_rows, holdout):
+    return explain.attribution_long(zone_rows, path)
+
+
+@_model_query
+def attribution_of_top(path, zone_rows, holdout):
+    return explain.attribution_of_top(zone_rows, path)
+
+
+@_model_query
+def attribution_importance(path, zone_rows, holdout):
+    return explain.attribution_importance(zone_rows, path)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -22,22 +22,29 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return ranked.filter(F.col("_place") <= n).drop("_place")
 
 
+def _delivery_order(events: DataFrame, kind: str) -> list[Column]:
+    """Earliest delivery first; equal stamps are settled by the whole row."""
+    rest = [c for c in events.columns if c not in NATURAL_KEY[kind] and c != "ingested_at"]
+    return [F.asc_nulls_last(c) for c in ("ingested_at", *rest)]
+
+
 def distinct_events(events: DataFrame, kind: str) -> DataFrame:
-    """The earliest delivery of each observation; equal stamps are settled by the whole row."""
-    keys = NATURAL_KEY[kind]
-    rest = [c for c in events.columns if c not in keys and c != "ingested_at"]
-    return first_per_key(events, keys, [F.asc_nulls_last(c) for c in ("ingested_at", *rest)])
+    """The earliest delivery of each observation."""
+    return first_per_key(events, NATURAL_KEY[kind], _delivery_order(events, kind))
 
 
 def new_events(incoming: DataFrame, landed: DataFrame, kind: str) -> DataFrame:
     """Accepted rows whose key has not landed yet, once each.
 
-    Both sides are reduced to one row per key before they meet, so the join sees
-    no hot key, and the incoming side keeps its key partitioning from the dedup.
+    An anti-join and a dedup in one shuffle: landed keys are stacked in front of the
+    incoming rows, and a key whose first row is a landed one yields nothing. Missing
+    key parts count as equal, and each task sends one row per key at most, so neither
+    a key landed a thousand times nor one repeated in the batch becomes a hot group.
     """
-    keys = list(NATURAL_KEY[kind])
-    known = landed.select(*keys).distinct()
-    return distinct_events(incoming, kind).join(known, keys, "left_anti")
+    known = landed.select(*NATURAL_KEY[kind], F.lit(0).alias("_turn"))
+    stacked = incoming.withColumn("_turn", F.lit(1)).unionByName(known, allowMissingColumns=True)
+    order = [F.col("_turn"), *_delivery_order(incoming, kind)]
+    return first_per_key(stacked, NATURAL_KEY[kind], order).filter(F.col("_turn") == 1).drop("_turn")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, *ties: Column) -> DataFrame:

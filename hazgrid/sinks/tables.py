@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,17 +33,29 @@ def write_batch(events: DataFrame, kind: str, path: str, batch_id: int) -> None:
     laid_out(events, kind).write.mode("overwrite").partitionBy("event_date").parquet(target)
 
 
-def read_table(spark: SparkSession, kind: str, path: str, time: str = "timestamp") -> DataFrame:
-    """The table with its folder columns; the schema is declared, files are not sampled for it.
+def read_table(
+    spark: SparkSession, kind: str, path: str, time: str = "timestamp", batched: bool = False
+) -> DataFrame:
+    """The table with its folder columns; the schema is declared, so no file is opened for it.
 
-    ``event_date`` stays in the result so that horizons prune folders.
+    ``event_date`` stays in the result so that horizons prune folders. ``batched``: the
+    table was written batch by batch.
     """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind])
-    has_batches = "batch_id" in spark.read.parquet(path).columns
-    folders = "batch_id bigint, event_date date" if has_batches else "event_date date"
+    folders = "batch_id bigint, event_date date" if batched else "event_date date"
     return spark.read.schema(f"{columns}, event_time {time}, {folders}").parquet(path)
 
 
+def landed_on(spark: SparkSession, kind: str, path: str, days: list[date], before_batch: int) -> DataFrame | None:
+    """Rows of earlier batches on the given days and their neighbours; None while there is no table."""
+    near = {day + timedelta(days=shift) for day in days for shift in (-1, 0, 1)}
+    try:
+        table = read_table(spark, kind, path, batched=True)
+    except AnalysisException:  # the folder does not exist yet
+        return None
+    return table.filter((F.col("batch_id") < before_batch) & F.col("event_date").isin(*near))
+
+
 def append_predictions(predictions: DataFrame, path: str, run_id: str) -> None:
     """One folder per scoring run; running it again replaces that run."""
     predictions.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")

@@ -9,19 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import seconds_text
-from ..operators.dedup import new_events
+from ..operators.dedup import distinct_events, new_events
 from ..schemas import KINDS
-from ..sinks.tables import read_table, write_batch
+from ..sinks.tables import landed_on, read_table, write_batch
 from .topics import file_stream, first_seen, typed
 
 TRIGGER = {"processingTime": "10 seconds"}
 
 
 def _started(rows: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, name: str, trigger) -> StreamingQuery:
+    """Run ``each`` on every batch that holds rows. An error in it stops the stream; nothing is swallowed."""
+    def once(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()  # several passes follow; sources and state are read once
+        try:
+            if not held.isEmpty():
+                each(held, batch_id)
+        finally:
+            held.unpersist()
+
     return (
         rows.writeStream.queryName(name)
         .outputMode("append")
-        .foreachBatch(each)
+        .foreachBatch(once)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
         .trigger(**(trigger or TRIGGER))
         .start()
@@ -31,50 +40,33 @@ def _started(rows: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
 def append_stream(
     rows: DataFrame, kind: str, table: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append micro-batches to a table, written by the executors; a failing batch stops the stream.
+    """Append micro-batches to a table, written by the executors.
 
     A batch that is run again after a failure replaces its own folder.
     """
-    def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_batch(batch, kind, table, batch_id)
-
-    return _started(rows, each, checkpoint, f"append_{kind}", trigger)
+    return _started(
+        rows, lambda batch, batch_id: write_batch(batch, kind, table, batch_id), checkpoint, f"append_{kind}", trigger
+    )
 
 
 def append_new_stream(
     rows: DataFrame, kind: str, table: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append only observations that no earlier batch landed, however long ago that was.
+    """Append only observations that no earlier batch landed, however late the repeat comes.
 
-    For feeds with hot keys or very late repeats: a batch is reduced to one row per key
-    before its only shuffle, and landed keys are read from the days the batch touches.
-    No state is kept between batches, so nothing grows with time.
+    A batch is reduced to one row per key before its only shuffle, and landed keys are read
+    from the days the batch touches. No state is kept between batches, nothing grows with
+    time, and no late row is dropped.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        dated = batch.withColumn("event_date", F.to_date("event_time"))
-        if batch_id and _exists(spark, table):
-            span = dated.agg(F.min("event_date"), F.max("event_date")).first()
-            landed = read_table(spark, kind, table).filter(
-                (F.col("batch_id") < batch_id) & F.col("event_date").between(*map(F.lit, span))
-            )
-            batch = new_events(batch, landed, kind)
-        else:
-            batch = new_events(batch, batch.limit(0), kind)
-        write_batch(batch, kind, table, batch_id)
+        days = [r[0] for r in batch.select(F.to_date("event_time")).distinct().collect() if r[0]]
+        landed = landed_on(batch.sparkSession, kind, table, days, batch_id)
+        fresh = distinct_events(batch, kind) if landed is None else new_events(batch, landed, kind)
+        write_batch(fresh, kind, table, batch_id)
 
     return _started(rows, each, checkpoint, f"append_new_{kind}", trigger)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def start_all(
     spark: SparkSession,
     topics: str,
@@ -83,15 +75,24 @@ def start_all(
     trigger: dict | None = None,
     max_files: int | None = None,
     source: Callable[[str], DataFrame] | None = None,
+    dedup: str = "table",
 ) -> dict[str, StreamingQuery]:
-    """One stream per kind. ``source`` gives the messages of a topic; by default text files below ``topics``."""
+    """One stream per kind.
+
+    ``source`` gives the messages of a topic; by default text files below ``topics``.
+    ``dedup="table"`` checks against what has landed; ``"state"`` against keys kept for the
+    feed's longest repeat, which reads no table but drops rows later than that.
+    """
     read = source or (lambda kind: file_stream(spark, kind, topics, max_files))
-    return {
-        kind: append_stream(
-            first_seen(typed(read(kind), kind), kind), kind, f"{tables.rstrip('/')}/{kind}", checkpoint, trigger
-        )
-        for kind in KINDS
-    }
+    running = {}
+    for kind in KINDS:
+        rows, table = typed(read(kind), kind), f"{tables.rstrip('/')}/{kind}"
+        rows = rows.filter(F.col("event_time").isNotNull())  # the others are listed by ``unreadable``
+        if dedup == "state":
+            running[kind] = append_stream(first_seen(rows, kind), kind, table, checkpoint, trigger)
+        else:
+            running[kind] = append_new_stream(rows, kind, table, checkpoint, trigger)
+    return running
 
 
 def wait_any(spark: SparkSession, seconds: float | None = None) -> bool | None:
@@ -111,13 +112,12 @@ def change_feed(
     for rows that share a second.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            shown = batch.withColumn("event_time", seconds_text(F.col("event_time")))
-            publish(shown.withColumn("_type", F.lit(_TAG[kind])), batch_id)
+        shown = batch.withColumn("event_time", seconds_text(F.col("event_time")))
+        publish(shown.withColumn("_type", F.lit(_TAG[kind])), batch_id)
 
     return _started(rows, each, checkpoint, f"feed_{kind}", trigger)
 
 
 def table_stream(spark: SparkSession, kind: str, path: str) -> DataFrame:
-    """A landed table as a stream of the rows added to it."""
-    return spark.readStream.schema(read_table(spark, kind, path).schema).parquet(path)
+    """A batch-written table as a stream of the rows added to it."""
+    return spark.readStream.schema(read_table(spark, kind, path, batched=True).schema).parquet(path)
