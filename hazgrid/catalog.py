@@ -421,6 +421,7 @@ def top_drivers(t):
 # The risk model. Training takes a minute or more, so one stored model per table serves all
 # queries of a session, as the scoring and explaining jobs share one model file.
 
+MODEL_QUERIES: list[str] = []
 _STORED: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
 
 
@@ -438,6 +439,7 @@ def _model_query(build: Callable) -> Callable:
         return build(*_STORED[key])
 
     _QUERIES[build.__name__] = run
+    MODEL_QUERIES.append(build.__name__)
     return build
 
 

@@ -7,10 +7,10 @@ query grows with the table it reads.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.clock import hours_between, moment
@@ -18,181 +18,166 @@ from .functions.grid import has_place, zone_columns
 from .schemas import AIR_UNIT, COUNTRIES, FEATURES, PARAMETERS, ZONE
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
-_PARAMETER_OF = {"purchase": "pm25", "signup": "no2", "click": "o3"}
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-@dataclass
 class BaseTables:
-    quakes: DataFrame
-    fires: DataFrame
-    air: DataFrame
-    as_of: datetime
-    source: DataFrame
+    """The three base tables and the time queries count back from, each made when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    @cached_property
+    def source(self) -> DataFrame:
+        return events(self.spark, self.sf_dir)
+
+    @cached_property
+    def quakes(self) -> DataFrame:
+        return quakes(self.source)
+
+    @cached_property
+    def fires(self) -> DataFrame:
+        return fires(self.source)
 
+    @cached_property
+    def air(self) -> DataFrame:
+        return air(self.source)
 
-def latest_time(spark: SparkSession, sf_dir: str) -> datetime:
-    """The newest event, resolved once so that horizons are literals; reads one column."""
-    return events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    @cached_property
+    def as_of(self) -> datetime:
+        """The newest event, resolved once so that horizons are literals; reads one column."""
+        return self.source.agg(F.max("ts")).first()[0]
+
+
+def base_tables(spark: SparkSession, sf_dir: str) -> BaseTables:
+    return BaseTables(spark, sf_dir)
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _with_place(df: DataFrame) -> DataFrame:
-    """k and u, and a position near the equator: tenths of a degree with exact .5 ties, some without latitude."""
-    keyed = df.withColumn("k", _k()).withColumn("u", F.col("user_id"))
-    k, u = F.col("k"), F.col("u")
-    row = ((u % 15) * 10 + (k % 10) - 75).cast("double")
-    fifteens = F.floor(u / 15).cast("bigint")
-    tens = F.floor(k / 10).cast("bigint")
-    column = ((fifteens % 36) * 10 + tens - 55).cast("double")
-    return keyed.withColumn("lat", F.when(k != 99, row / F.lit(10.0))).withColumn("lon", column / F.lit(10.0))
+# Positions near the equator in tenths of a degree, with exact .5 ties and some missing latitudes.
+_LAT = "CASE WHEN k <> 99 THEN CAST((u % 15) * 10 + (k % 10) - 75 AS DOUBLE) / 10D END AS lat"
+_LON = "CAST(((u DIV 15) % 36) * 10 + (k DIV 10) - 55 AS DOUBLE) / 10D AS lon"
+_STAMP = f"'{INGESTED_AT}' AS ingested_at"
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    """values[index], as a CASE."""
-    chain = F
-    for i, value in enumerate(values):
-        if value is not None:
-            chain = chain.when(index == i, value)
-    return chain
+def _keyed(source: DataFrame, types: str) -> DataFrame:
+    """Events of some types with the integer ``k`` of their properties and ``u``, the user."""
+    wanted = source if types == "all" else source.filter(f"event_type IN ({types})")
+    return wanted.selectExpr(
+        "event_id", "ts", "event_type", "value", "user_id AS u", "CAST(get_json_object(props, '$.k') AS INT) AS k"
+    )
 
 
 def quakes(source: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return _with_place(source.filter(F.col("event_type") == "error")).select(
-        F.concat(F.lit("ev"), F.col("event_id").cast("string")).alias("id"),
-        (F.least(F.col("value") / F.lit(25.0), F.lit(9.5)) - F.lit(0.5)).alias("mag"),
-        F.concat(F.lit("zone "), F.col("u").cast("string")).alias("place"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("time_ms"),
-        "lon",
-        "lat",
-        (k * 3).cast("double").alias("depth_km"),
-        _pick(k % 5, "green", "yellow", "orange", "red").alias("alert"),
-        F.when(k % 20 == 0, 1).otherwise(0).alias("tsunami"),
-        (k * 10).alias("sig"),
-        F.when(k % 2 == 0, "reviewed").otherwise("automatic").alias("status"),
-        F.lit("ml").alias("mag_type"),
-        _pick(k % 3, "us", "ak", "ci").alias("net"),
-        F.lit(INGESTED_AT).alias("ingested_at"),
-        F.col("ts").alias("event_time"),
+    return _keyed(source, "'error'").selectExpr(
+        "concat('ev', event_id) AS id",
+        "least(value / 25D, 9.5D) - 0.5D AS mag",
+        "concat('zone ', u) AS place",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS time_ms",
+        _LON,
+        _LAT,
+        "CAST(k * 3 AS DOUBLE) AS depth_km",
+        "CASE k % 5 WHEN 0 THEN 'green' WHEN 1 THEN 'yellow' WHEN 2 THEN 'orange' WHEN 3 THEN 'red' END AS alert",
+        "IF(k % 20 = 0, 1, 0) AS tsunami",
+        "k * 10 AS sig",
+        "IF(k % 2 = 0, 'reviewed', 'automatic') AS status",
+        "'ml' AS mag_type",
+        "CASE k % 3 WHEN 0 THEN 'us' WHEN 1 THEN 'ak' ELSE 'ci' END AS net",
+        _STAMP,
+        "ts AS event_time",
     )
 
 
 def fires(source: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return _with_place(source.filter(F.col("event_type") == "view")).select(
-        "lat",
-        "lon",
-        (k + 300).cast("double").alias("brightness"),
-        (F.col("value") * F.lit(5.0)).alias("frp"),
-        _pick(k % 3, "low", "nominal", "high").alias("confidence"),
-        F.date_format("ts", "yyyy-MM-dd").alias("acq_date"),
-        (F.hour("ts") * 100 + F.minute("ts")).cast("string").alias("acq_time"),
-        F.when(k % 2 == 0, "N").otherwise("T").alias("satellite"),
-        F.when(F.hour("ts").between(6, 17), "D").otherwise("N").alias("daynight"),
-        (k.cast("double") / F.lit(100.0)).alias("scan"),
-        (k.cast("double") / F.lit(100.0)).alias("track"),
-        F.lit(INGESTED_AT).alias("ingested_at"),
-        F.col("ts").alias("event_time"),
+    return _keyed(source, "'view'").selectExpr(
+        _LAT,
+        _LON,
+        "CAST(300 + k AS DOUBLE) AS brightness",
+        "value * 5D AS frp",
+        "CASE k % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'nominal' ELSE 'high' END AS confidence",
+        "date_format(ts, 'yyyy-MM-dd') AS acq_date",
+        "CAST(hour(ts) * 100 + minute(ts) AS STRING) AS acq_time",
+        "IF(k % 2 = 0, 'N', 'T') AS satellite",
+        "IF(hour(ts) BETWEEN 6 AND 17, 'D', 'N') AS daynight",
+        "k / 100D AS scan",
+        "k / 100D AS track",
+        _STAMP,
+        "ts AS event_time",
     )
 
 
 def air(source: DataFrame) -> DataFrame:
-    k, u = F.col("k"), F.col("u")
-    parameter = F
-    for event_type, name in _PARAMETER_OF.items():
-        parameter = parameter.when(F.col("event_type") == event_type, name)
-    return _with_place(source.filter(F.col("event_type").isin(*_PARAMETER_OF))).select(
-        u.cast("string").alias("location_id"),
-        (u * 3 + k % 3).cast("string").alias("sensor_id"),
-        parameter.alias("parameter"),
-        (F.col("value") - F.lit(5.0)).alias("value"),
-        F.lit(AIR_UNIT).alias("unit"),
-        "lat",
-        "lon",
-        _pick(u % 7, *COUNTRIES.values()).alias("country"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("measured_at"),
-        F.lit(INGESTED_AT).alias("ingested_at"),
-        F.col("ts").alias("event_time"),
+    named = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(COUNTRIES.values()))
+    return _keyed(source, "'purchase', 'signup', 'click'").selectExpr(
+        "CAST(u AS STRING) AS location_id",
+        "CAST(u * 3 + k % 3 AS STRING) AS sensor_id",
+        "CASE event_type WHEN 'purchase' THEN 'pm25' WHEN 'signup' THEN 'no2' ELSE 'o3' END AS parameter",
+        "value - 5D AS value",
+        f"'{AIR_UNIT}' AS unit",
+        _LAT,
+        _LON,
+        f"CASE u % 7 {named} END AS country",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS measured_at",
+        _STAMP,
+        "ts AS event_time",
     )
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> BaseTables:
-    source = events(spark, sf_dir)
-    return BaseTables(quakes(source), fires(source), air(source), latest_time(spark, sf_dir), source)
-
-
 # Raw feeds: what the services deliver, flaws included, as landed text.
 
 
 def raw_quakes(source: DataFrame) -> DataFrame:
     """Features with every flaw the feed can have, each on its own remainder of the number."""
-    t = quakes(source).withColumn("flaw", F.substring("id", 3, 20).cast("bigint") % 20)
-
-    def unless(n: int, column: Column) -> Column:
-        return F.when(F.col("flaw") != n, column)
-
-    lon, lat, depth = (F.col(c).cast("string") for c in ("lon", "lat", "depth_km"))
-    place = F.when(F.col("flaw") == 6, F.array(lon, lat)).otherwise(F.array(lon, lat, depth))
-    return t.select(
-        unless(0, F.col("id")).alias("id"),
-        F.struct(
-            F.when(F.col("flaw") == 2, "n/a").otherwise(unless(1, F.col("mag").cast("string"))).alias("mag"),
-            unless(3, F.col("place")).alias("place"),
-            F.col("time_ms").cast("string").alias("time"),
-            F.col("alert"),
-            unless(4, F.col("tsunami").cast("string")).alias("tsunami"),
-            F.when(F.col("flaw") == 5, "many").otherwise(F.col("sig").cast("string")).alias("sig"),
-            unless(7, F.col("status")).alias("status"),
-            unless(8, F.col("mag_type")).alias("magType"),
-            unless(9, F.col("net")).alias("net"),
-        ).alias("properties"),
-        F.struct(place.alias("coordinates")).alias("geometry"),
+    flawed = quakes(source).selectExpr("*", "CAST(substr(id, 3) AS BIGINT) % 20 AS flaw")
+    return flawed.selectExpr(
+        "IF(flaw = 0, NULL, id) AS id",
+        """named_struct(
+            'mag', CASE flaw WHEN 1 THEN NULL WHEN 2 THEN 'n/a' ELSE CAST(mag AS STRING) END,
+            'place', IF(flaw = 3, NULL, place),
+            'time', CAST(time_ms AS STRING),
+            'alert', alert,
+            'tsunami', IF(flaw = 4, NULL, CAST(tsunami AS STRING)),
+            'sig', IF(flaw = 5, 'many', CAST(sig AS STRING)),
+            'status', IF(flaw = 7, NULL, status),
+            'magType', IF(flaw = 8, NULL, mag_type),
+            'net', IF(flaw = 9, NULL, net)) AS properties""",
+        """named_struct('coordinates', IF(flaw = 6,
+            array(CAST(lon AS STRING), CAST(lat AS STRING)),
+            array(CAST(lon AS STRING), CAST(lat AS STRING), CAST(depth_km AS STRING)))) AS geometry""",
     )
 
 
 def raw_fires(source: DataFrame) -> DataFrame:
     """Delimited text: mixed-case confidence, sometimes missing, times without leading zeros."""
-    k = F.col("track") * 100
-    confidence = F.when(k % 4 == 1, F.upper("confidence")).when(k % 10 != 9, F.col("confidence"))
-    return fires(source).select(
-        F.col("lat").cast("string").alias("latitude"),
-        F.col("lon").cast("string").alias("longitude"),
-        F.when(k != 50, F.col("brightness").cast("string")).otherwise("hot").alias("bright_ti4"),
-        F.col("frp").cast("string").alias("frp"),
-        confidence.alias("confidence"),
+    flawed = fires(source).selectExpr("*", "CAST(track * 100 + 0.5D AS INT) AS k")
+    return flawed.selectExpr(
+        "CAST(lat AS STRING) AS latitude",
+        "CAST(lon AS STRING) AS longitude",
+        "IF(k = 50, 'hot', CAST(brightness AS STRING)) AS bright_ti4",
+        "CAST(frp AS STRING) AS frp",
+        "CASE WHEN k % 4 = 1 THEN upper(confidence) WHEN k % 10 <> 9 THEN confidence END AS confidence",
         "acq_date", "acq_time", "satellite", "daynight",
-        F.col("scan").cast("string").alias("scan"),
-        F.col("track").cast("string").alias("track"),
+        "CAST(scan AS STRING) AS scan",
+        "CAST(track AS STRING) AS track",
     )
 
 
 def raw_air(source: DataFrame) -> DataFrame:
     """Results with optional nested objects, tagged with the ids of the request that returned them."""
-    table = air(source)
-    country_id = F
-    for i, name in COUNTRIES.items():
-        country_id = country_id.when(F.col("country") == name, i)
-    parameter_id = F
-    for i, name in PARAMETERS.items():
-        parameter_id = parameter_id.when(F.col("parameter") == name, i)
-    sensor = F.col("sensor_id").cast("bigint")
-    position = F.struct(F.col("lat").cast("string").alias("latitude"), F.col("lon").cast("string").alias("longitude"))
-    return table.select(
-        F.when(sensor % 11 != 10, F.col("value").cast("string")).alias("value"),
-        F.when(sensor % 13 != 12, position).alias("coordinates"),
-        F.when(sensor % 17 != 16, F.struct(F.when(sensor % 19 != 18, F.col("measured_at")).otherwise("").alias("utc")))
-        .alias("datetime"),
-        F.when(sensor % 23 != 22, F.col("sensor_id")).alias("sensorsId"),
-        F.when(sensor % 29 != 28, F.col("location_id")).alias("locationsId"),
-        country_id.alias("country_id"),
-        parameter_id.alias("parameter_id"),
+    country_id = " ".join(f"WHEN '{name}' THEN {i}" for i, name in COUNTRIES.items())
+    parameter_id = " ".join(f"WHEN '{name}' THEN {i}" for i, name in PARAMETERS.items())
+    return air(source).selectExpr("*", "CAST(sensor_id AS BIGINT) AS s").selectExpr(
+        "IF(s % 11 = 10, NULL, CAST(value AS STRING)) AS value",
+        """IF(s % 13 = 12, NULL, named_struct('latitude', CAST(lat AS STRING), 'longitude', CAST(lon AS STRING)))
+           AS coordinates""",
+        "IF(s % 17 = 16, NULL, named_struct('utc', IF(s % 19 = 18, '', measured_at))) AS datetime",
+        "IF(s % 23 = 22, NULL, sensor_id) AS sensorsId",
+        "IF(s % 29 = 28, NULL, location_id) AS locationsId",
+        f"CASE country {country_id} END AS country_id",
+        f"CASE parameter {parameter_id} END AS parameter_id",
     )
 
 
@@ -204,19 +189,16 @@ RAW = {"earthquakes": raw_quakes, "wildfires": raw_fires, "pollution": raw_air}
 
 def scored(source: DataFrame) -> DataFrame:
     """A label and a score with many ties."""
-    return source.select(
-        F.when(F.col("event_type") == "error", 1).otherwise(0).alias("label"),
-        F.floor("value").cast("double").alias("score"),
-    )
+    return source.selectExpr("IF(event_type = 'error', 1, 0) AS label", "CAST(floor(value) AS DOUBLE) AS score")
 
 
 def prediction_runs(source: DataFrame) -> DataFrame:
     """Scores of zones over time: many rows per zone, one per event."""
-    placed = _with_place(source).filter(has_place())
+    placed = _keyed(source, "all").selectExpr("ts", "value", _LAT, _LON).filter(has_place())
     return placed.select(
         *zone_columns(),
-        F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("ml_risk_score"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("predicted_at"),
+        F.expr("least(value / 100D, 1D) AS ml_risk_score"),
+        F.expr("date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS predicted_at"),
     )
 
 
@@ -229,7 +211,5 @@ def driver_rows(source: DataFrame, as_of: datetime) -> DataFrame:
         "shallow_eq_ratio": F.col("depth_km") / F.lit(-30.0),
         "hours_since_last_eq": hours_between(F.col("event_time"), moment(as_of)) / F.lit(100.0),
     }
-    columns = [
-        values.get(f, F.lit(0.0)).cast("double").alias(f) for f in FEATURES if f not in ZONE
-    ]
+    columns = [values.get(f, F.lit(0.0)).cast("double").alias(f) for f in FEATURES if f not in ZONE]
     return table.select("id", *zone_columns(), *columns)

@@ -13,6 +13,15 @@ NULL_TEXT = r"\N"
 TAB = "\t"
 
 
+def evaluated_once(*columns: Column) -> Column:
+    """Columns to select as one generator, so that each is computed once per row.
+
+    A later filter on one of them (is the record acceptable?) stays above a generator;
+    through a plain projection it would be pushed down with a copy of every parse and cast.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def fixed(column: Column, digits: int) -> Column:
     """Plain decimal text, rounded from the exact binary value with ties to even.
 

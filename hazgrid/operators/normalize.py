@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import padded
+from ..functions.encode import evaluated_once
 from ..schemas import AIR, AIR_UNIT, FIRE, QUAKE
 from ..sources.dimensions import name_ids
 
@@ -46,13 +47,18 @@ def _any_null(*columns: Column) -> Column:
     return verdict
 
 
+def _judged(raw: DataFrame, *columns: Column) -> DataFrame:
+    return raw.select(evaluated_once(*columns))
+
+
 def quake_candidates(raw: DataFrame, ingested_at: str) -> DataFrame:
     place = F.col("geometry.coordinates")
     mag = _number("properties.mag")
     time_ms = F.col("properties.time").try_cast("bigint")
     lon, lat, depth = (F.get(place, i).try_cast("double") for i in range(3))
     tsunami, sig = _whole("properties.tsunami"), _whole("properties.sig")
-    return raw.select(
+    return _judged(
+        raw,
         F.col("id"),
         mag.alias("mag"),
         _text("properties.place", "").alias("place"),
@@ -87,7 +93,8 @@ def fire_candidates(raw: DataFrame, ingested_at: str) -> DataFrame:
         "track": _number("track"),
     }
     texts = [F.col(c) for c in ("acq_date", "acq_time", "satellite", "daynight")]
-    return raw.select(
+    return _judged(
+        raw,
         *(numbers[c].alias(c) for c in ("lat", "lon", "brightness", "frp")),
         confidence.alias("confidence"),
         F.col("acq_date"),
@@ -108,7 +115,8 @@ def air_candidates(raw: DataFrame, ingested_at: str) -> DataFrame:
     named = name_ids(raw)
     value, lat, lon = _number("value"), _number("coordinates.latitude"), _number("coordinates.longitude")
     measured_at = F.col("datetime.utc")
-    return named.select(
+    return _judged(
+        named,
         _text("locationsId", "").alias("location_id"),
         _text("sensorsId", "unknown").alias("sensor_id"),
         F.col("parameter"),

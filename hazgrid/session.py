@@ -21,6 +21,8 @@ def build_session(master: str | None = None, app: str = "hazgrid", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # a call-site record per column expression triples the driver's time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
