@@ -18,7 +18,7 @@ from . import fixtures
 from .fixtures import BaseTables, base_tables
 from .functions.classify import risk_label
 from .functions.clock import moment, with_event_time
-from .functions.encode import tsv_line
+from .functions.encode import envelope, tsv_line
 from .ml import explain, model
 from .operators import attribution, dedup, features, markers, metrics, normalize, profile, serving, split, zones
 from .operators.staging import stage_air, stage_fires, stage_quakes
@@ -27,6 +27,8 @@ from .schemas import FEATURES, KINDS, LABEL, STREAM_SCHEMA, ZONE
 from .session import scratch_path, use_utc
 from .sinks import tables, topics
 from .sources import dimensions
+from .streaming import jobs
+from .streaming.topics import first_seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -254,6 +256,15 @@ def incremental_pull(t):
     return serving.pull_since(t.quakes, "earthquakes", t.as_of - timedelta(days=1))
 
 
+@_query
+def result_envelope(t):
+    """A service answer: the number of rows and the rows as a JSON array, newest first."""
+    columns = ("id", "place", "alert", "tsunami", "status", "event_time")
+    newest = t.quakes.filter(F.col("event_time") >= moment(t.as_of - timedelta(days=1))).select(*columns)
+    newest = newest.orderBy(F.desc("event_time"), "id").limit(serving.QUAKE_ROWS)
+    return envelope(newest, -F.unix_micros(F.col("event_time").cast("timestamp")), F.col("id"))
+
+
 @_query
 def event_feed(t):
     return _real_integers(serving.event_feed(*_base(t), {kind: t.as_of - timedelta(hours=6) for kind in KINDS}))
@@ -326,6 +337,32 @@ def predictions_latest(events):
     return latest.withColumn("ml_risk_label", risk_label(F.col("ml_risk_score")))
 
 
+def _streamed(t: BaseTables, start: Callable) -> DataFrame:
+    """Quakes of the events, delivered twice, as a stream run to its end; the table it landed."""
+    landing = t.spark.readStream.schema(fixtures.EVENTS).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    timed = fixtures.quakes(landing).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    twice = timed.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+    table, checkpoint = scratch_path(t.spark, "landed"), scratch_path(t.spark, "progress")
+    start(twice, "earthquakes", table, checkpoint, {"availableNow": True}).awaitTermination()
+    rows = tables.read_table(t.spark, "earthquakes", table, batched=True).drop("batch_id", "event_date")
+    return rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+@_query
+def stream_new_quakes(t):
+    """Landed by the stream that checks each batch against the table."""
+    return _streamed(t, jobs.append_new_stream)
+
+
+@_query
+def stream_first_quakes(t):
+    """Landed by the stream that remembers keys within a watermark."""
+    def start(rows, kind, *rest):
+        return jobs.append_stream(first_seen(rows, kind), kind, *rest)
+
+    return _streamed(t, start)
+
+
 # Features, labels, split
 
 

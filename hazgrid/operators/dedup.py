@@ -15,7 +15,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
     A row-number filter of this form is run as a group limit before the shuffle
     as well as after it: each task sends at most ``n`` rows per key, so a key
-    that holds most of the table does not end up in one task.
+    that holds most of the table does not end up in one task. Spark does this for ``n`` below
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set).
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn("_place", F.row_number().over(window))

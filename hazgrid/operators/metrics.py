@@ -26,7 +26,7 @@ def _ranked(rows: DataFrame, label: str, score: str) -> DataFrame:
     """
     scores = _by_score(rows, label, score)
     shares = F.array(*(F.lit(i / BLOCKS) for i in range(1, BLOCKS)))
-    cuts = scores.agg(F.percentile_approx("score", shares, F.lit(BLOCKS * 20))).first()[0] or []
+    cuts = scores.agg(F.percentile_approx("score", shares, F.lit(BLOCKS * 4))).first()[0] or []
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     blocks = Bucketizer(splits=splits, inputCol="score", outputCol="low_block", handleInvalid="keep")
     blocked = blocks.transform(scores).withColumn("block", -F.col("low_block")).drop("low_block")

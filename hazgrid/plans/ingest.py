@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import utc_now, with_event_time
 from ..operators import normalize
 from ..operators.dedup import distinct_events, new_events
-from ..session import settled
+from ..session import settled, use_utc
 from ..sinks.tables import landed_on, write_batch
 from ..sources import landing
 
@@ -17,6 +17,7 @@ READERS = {"earthquakes": landing.quake_files, "wildfires": landing.fire_files,
 
 def judged(spark: SparkSession, kind: str, path: str, ingested_at: str | None = None) -> DataFrame:
     """Every landed record, typed, with its event time and the reason it is rejected, if it is."""
+    use_utc(spark)
     stamp = ingested_at or f"{utc_now().isoformat()}+00:00"
     rows = with_event_time(normalize.CANDIDATES[kind](READERS[kind](spark, path), stamp), kind)
     late_reason = F.when(F.col("event_time").isNull(), "no_event_time")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.clock import seconds_text
 from ..operators.dedup import distinct_events, new_events
 from ..schemas import KINDS
+from ..session import use_utc
 from ..sinks.tables import landed_on, read_table, write_batch
 from .topics import file_stream, first_seen, typed
 
@@ -83,6 +84,7 @@ def start_all(
     ``dedup="table"`` checks against what has landed; ``"state"`` against keys kept for the
     feed's longest repeat, which reads no table but drops rows later than that.
     """
+    use_utc(spark)
     read = source or (lambda kind: file_stream(spark, kind, topics, max_files))
     running = {}
     for kind in KINDS:
