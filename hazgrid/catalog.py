@@ -24,7 +24,7 @@ from .operators import attribution, dedup, features, markers, metrics, normalize
 from .operators.staging import stage_air, stage_fires, stage_quakes
 from .plans import layers
 from .schemas import FEATURES, KINDS, LABEL, STREAM_SCHEMA, ZONE
-from .session import scratch_path, use_utc
+from .session import scratch_path, settled, use_utc
 from .sinks import tables, topics
 from .sources import dimensions
 from .streaming import jobs
@@ -339,7 +339,8 @@ def predictions_latest(events):
 
 def _streamed(t: BaseTables, start: Callable) -> DataFrame:
     """Quakes of the events, delivered twice, as a stream run to its end; the table it landed."""
-    landing = t.spark.readStream.schema(fixtures.EVENTS).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    # a pattern, as a stream takes a plain path to be a folder and the table may be a single file
+    landing = t.spark.readStream.schema(fixtures.EVENTS).parquet(f"{t.sf_dir.rstrip('/')}/events.parque[t]")
     timed = fixtures.quakes(landing).withColumn("event_time", F.col("event_time").cast("timestamp"))
     twice = timed.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
     table, checkpoint = scratch_path(t.spark, "landed"), scratch_path(t.spark, "progress")
@@ -422,7 +423,7 @@ def class_weight(t):
 @_query
 def stratified_split(t):
     """First four fifths of each class by zone; the seeded variant only changes the order."""
-    rows = features.training_set(*_base(t), t.as_of).select(*ZONE, LABEL)
+    rows = settled(features.training_set(*_base(t), t.as_of).select(*ZONE, LABEL), "zones")
     return split.split_by_order(rows, "zone_lat", [F.col("zone_lon")], [LABEL])
 
 
@@ -431,12 +432,14 @@ def stratified_split(t):
 
 @_events_query
 def roc_auc(events):
-    return _rounded(metrics.roc_auc(fixtures.scored(events), "label", "score"), "roc_auc")
+    measures = metrics.ranking(fixtures.scored(events), "label", "score")
+    return _rounded(measures.select("positives", "negatives", "roc_auc"), "roc_auc")
 
 
 @_events_query
 def average_precision(events):
-    return _rounded(metrics.average_precision(fixtures.scored(events), "label", "score"), "average_precision")
+    measures = metrics.ranking(fixtures.scored(events), "label", "score")
+    return _rounded(measures.select("positives", "average_precision"), "average_precision")
 
 
 @_events_query

@@ -64,10 +64,15 @@ _STAMP = f"'{INGESTED_AT}' AS ingested_at"
 
 
 def _keyed(source: DataFrame, types: str) -> DataFrame:
-    """Events of some types with the integer ``k`` of their properties and ``u``, the user."""
+    """Events of some types with the integer ``k`` of their properties and ``u``, the user.
+
+    ``k`` comes from a generator, so that conditions on what is derived from it do not parse
+    the properties again; conditions on the stored columns still reach the scan.
+    """
     wanted = source if types == "all" else source.filter(f"event_type IN ({types})")
     return wanted.selectExpr(
-        "event_id", "ts", "event_type", "value", "user_id AS u", "CAST(get_json_object(props, '$.k') AS INT) AS k"
+        "event_id", "ts", "event_type", "value", "user_id AS u",
+        "explode(array(CAST(get_json_object(props, '$.k') AS INT))) AS k",
     )
 
 

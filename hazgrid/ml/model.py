@@ -132,10 +132,7 @@ def evaluation(model: GBTClassificationModel, holdout: DataFrame) -> tuple[DataF
     """Report per class, and the two ranking measures in one row (NULL without positives)."""
     rows = scored(model, holdout).select(F.col(LABEL).alias("label"), "score", "prediction")
     report = metrics.classification_report(rows, "label", "prediction")
-    auc = metrics.roc_auc(rows, "label", "score").select("roc_auc")
-    ap = metrics.average_precision(rows, "label", "score").select("average_precision")
-    one = F.lit(1).alias("_one")
-    ranking = auc.select(one, "roc_auc").join(ap.select(one, "average_precision"), "_one").drop("_one")
+    ranking = metrics.ranking(rows, "label", "score").select("roc_auc", "average_precision")
     return report, ranking
 
 

@@ -6,6 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .ranking import running_totals
 
 BLOCKS = 512
@@ -21,10 +22,12 @@ def _by_score(rows: DataFrame, label: str, score: str) -> DataFrame:
 def _ranked(rows: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score: its positives and negatives, and those of all higher scores.
 
-    Blocks are cut at quantiles of the distinct scores, so each holds a like share of
-    them however the scores are spread; the cuts (at most ``BLOCKS``) are all the driver sees.
+    The scored table is read once: its distinct scores are written out, and what follows
+    works on them. Blocks are cut at quantiles of the distinct scores, so each holds a like
+    share of them however the scores are spread; the cuts (fewer than ``BLOCKS``) are all
+    the driver sees.
     """
-    scores = _by_score(rows, label, score)
+    scores = settled(_by_score(rows, label, score), "scores")
     shares = F.array(*(F.lit(i / BLOCKS) for i in range(1, BLOCKS)))
     cuts = scores.agg(F.percentile_approx("score", shares, F.lit(BLOCKS * 4))).first()[0] or []
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
@@ -33,24 +36,19 @@ def _ranked(rows: DataFrame, label: str, score: str) -> DataFrame:
     return running_totals(blocked, "block", [F.desc("score")], {"pos": "pos_above", "neg": "neg_above"})
 
 
-def roc_auc(rows: DataFrame, label: str, score: str) -> DataFrame:
-    """Share of positive-negative pairs in the right order, ties counting half; NULL without both classes."""
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
-    wins = F.sum(neg * (F.col("pos_above") + pos / 2))
-    return _ranked(rows, label, score).agg(
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-        F.try_divide(wins, F.sum(pos) * F.sum(neg)).alias("roc_auc"),
-    )
+def ranking(rows: DataFrame, label: str, score: str) -> DataFrame:
+    """Both ranking measures in one row, NULL where they are not defined.
 
-
-def average_precision(rows: DataFrame, label: str, score: str) -> DataFrame:
-    """Precision at each distinct score weighted by the recall gained there."""
-    pos = F.col("pos").cast("double")
+    ``roc_auc``: share of positive-negative pairs in the right order, ties counting half.
+    ``average_precision``: precision at each distinct score weighted by the recall gained there.
+    """
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     hits = F.col("pos_above") + F.col("pos")
     taken = hits + F.col("neg_above") + F.col("neg")
     return _ranked(rows, label, score).agg(
         F.sum("pos").alias("positives"),
+        F.sum("neg").alias("negatives"),
+        F.try_divide(F.sum(neg * (F.col("pos_above") + pos / 2)), F.sum(pos) * F.sum(neg)).alias("roc_auc"),
         F.try_divide(F.sum(pos * hits / taken), F.sum(pos)).alias("average_precision"),
     )
 

@@ -5,32 +5,43 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
 from ..schemas import SORT_KEY, STREAM_SCHEMA, ZONE
 
 
-def laid_out(events: DataFrame, kind: str) -> DataFrame:
+def _laid_out(events: DataFrame, kind: str, *folders: str) -> DataFrame:
     """Rows in the order the table stores them.
 
     ``rebalance`` lets adaptive execution cut a date that holds most of the rows into
     several files and pack thin dates together; sorting by the table key inside each
     task gives every file and row group narrow min/max ranges to skip by.
     """
-    dated = events.withColumn("event_date", F.to_date("event_time"))
-    return dated.hint("rebalance", F.col("event_date")).sortWithinPartitions("event_date", *SORT_KEY[kind])
+    return events.hint("rebalance", F.col("event_date")).sortWithinPartitions(*folders, *SORT_KEY[kind])
+
+
+def _dated(events: DataFrame) -> DataFrame:
+    return events.withColumn("event_date", F.to_date("event_time"))
 
 
 def write_table(events: DataFrame, kind: str, path: str, mode: str = "append") -> None:
-    laid_out(events, kind).write.mode(mode).partitionBy("event_date").parquet(path)
+    _laid_out(_dated(events), kind, "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
 
 
 def write_batch(events: DataFrame, kind: str, path: str, batch_id: int) -> None:
-    """One micro-batch in a folder of its own: a retry replaces it, so a row is never doubled."""
-    target = f"{path.rstrip('/')}/batch_id={batch_id}"
-    laid_out(events, kind).write.mode("overwrite").partitionBy("event_date").parquet(target)
+    """One micro-batch, in a folder of its own below each date: a retry replaces it, so no row is doubled."""
+    folders = ("event_date", "batch_id")
+    rows = _dated(events).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    writer = _laid_out(rows, kind, *folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).parquet(path)
+
+
+def _reader(spark: SparkSession, kind: str, time: str, batched: bool) -> DataFrameReader:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind])
+    folders = "event_date date, batch_id bigint" if batched else "event_date date"
+    return spark.read.schema(f"{columns}, event_time {time}, {folders}")
 
 
 def read_table(
@@ -41,19 +52,24 @@ def read_table(
     ``event_date`` stays in the result so that horizons prune folders. ``batched``: the
     table was written batch by batch.
     """
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind])
-    folders = "batch_id bigint, event_date date" if batched else "event_date date"
-    return spark.read.schema(f"{columns}, event_time {time}, {folders}").parquet(path)
+    return _reader(spark, kind, time, batched).parquet(path)
 
 
 def landed_on(spark: SparkSession, kind: str, path: str, days: list[date], before_batch: int) -> DataFrame | None:
-    """Rows of earlier batches on the given days and their neighbours; None while there is no table."""
-    near = {day + timedelta(days=shift) for day in days for shift in (-1, 0, 1)}
+    """Rows of earlier batches on the given days and their neighbours; None when there are none.
+
+    Only the folders of these days are listed, however long the table's history is.
+    """
+    near = sorted({(day + timedelta(days=shift)).isoformat() for day in days for shift in (-1, 0, 1)})
+    root = path.rstrip("/")
+    reader = _reader(spark, kind, "timestamp", batched=True).option("basePath", root)
     try:
-        table = read_table(spark, kind, path, batched=True)
-    except AnalysisException:  # the folder does not exist yet
+        table = reader.parquet(f"{root}/event_date={{{','.join(near)}}}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return table.filter((F.col("batch_id") < before_batch) & F.col("event_date").isin(*near))
+    return table.filter(F.col("batch_id") < before_batch)
 
 
 def append_predictions(predictions: DataFrame, path: str, run_id: str) -> None:

@@ -21,7 +21,7 @@ def trained(spark):
 
     t = fixtures.base_tables(spark, f"{TESTDATA}/sf0.01")
     rows = features.training_set(t.quakes, t.fires, t.air, t.as_of)
-    return model.train(rows, model.BoostParams(trees=6, depth=4))
+    return model.train(rows, model.BoostParams(trees=6, depth=3))
 
 
 @pytest.fixture(scope="module")

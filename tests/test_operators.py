@@ -118,16 +118,16 @@ def test_auc_and_ap_equal_brute_force(spark, spread):
     rows = [(int(rng.random() < 0.3), round(rng.random() ** 4 * spread, 3)) for _ in range(900)]
     rows += [(i % 2, 0.5) for i in range(450)]  # a third of all rows at one score
     df = spark.createDataFrame(rows, "y int, s double").repartition(8)
-    assert metrics.roc_auc(df, "y", "s").first()["roc_auc"] == pytest.approx(brute_auc(rows), abs=1e-12)
-    assert metrics.average_precision(df, "y", "s").first()["average_precision"] == pytest.approx(brute_ap(rows), abs=1e-12)
+    assert metrics.ranking(df, "y", "s").first()["roc_auc"] == pytest.approx(brute_auc(rows), abs=1e-12)
+    assert metrics.ranking(df, "y", "s").first()["average_precision"] == pytest.approx(brute_ap(rows), abs=1e-12)
     judge = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0)
     assert judge.evaluate(df) == pytest.approx(brute_auc(rows), abs=1e-9)
 
 
 def test_auc_needs_both_classes(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.2)], "y int, s double")
-    assert metrics.roc_auc(df, "y", "s").first()["roc_auc"] is None
-    assert metrics.average_precision(df, "y", "s").first()["average_precision"] is None
+    row = metrics.ranking(df, "y", "s").first()
+    assert row["roc_auc"] is None and row["average_precision"] is None
 
 
 def test_report_without_predictions_of_a_class(spark):

@@ -1,9 +1,14 @@
 """Streams over message files, run to the end of what is there, against the batch results."""
 
+import glob
+from datetime import date, datetime
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from hazgrid import fixtures
+from hazgrid.functions.clock import since
 from hazgrid.operators.dedup import distinct_events
 from hazgrid.schemas import KINDS, NATURAL_KEY, STREAM_SCHEMA
 from hazgrid.sinks import tables, topics
@@ -131,14 +136,32 @@ def test_table_stream_and_layout(spark, sf_dir, tmp_path):
     stream = jobs.table_stream(spark, "earthquakes", path).writeStream.format("memory").queryName("landed").trigger(**NOW).start()
     stream.awaitTermination(60)
     assert spark.table("landed").count() == quakes.count()
-    plain = str(tmp_path / "p")
-    tables.write_table(quakes, "earthquakes", plain)
-    table = tables.read_table(spark, "earthquakes", plain)
-    from hazgrid.functions.clock import since
-    from datetime import datetime
-
-    plan = since(table, datetime(2024, 1, 20), days=7)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan.replace("#", "").replace("\n", "") or "event_date" in plan.split("PartitionFilters:")[1][:80]
+    for file in glob.glob(f"{path}/event_date=*/batch_id=0/*.parquet"):
+        stored = pq.read_table(file, partitioning=None, columns=["event_time", "id"]).to_pylist()
+        assert stored == sorted(stored, key=lambda r: (r["event_time"], r["id"]))
+
+
+def test_horizon_prunes_folders(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path = str(tmp_path / "t")
+    tables.write_table(quakes, "earthquakes", path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    recent = since(tables.read_table(spark, "earthquakes", path), datetime(2024, 1, 20), days=7)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "GreaterThanOrEqual(event_time" in plan
+    assert recent.count() == quakes.filter("event_time >= TIMESTAMP'2024-01-13 00:00:00'").count()
+
+
+def test_landed_rows_are_read_from_near_days_only(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path = str(tmp_path / "t")
+    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 5) is None
+    tables.write_batch(quakes, "earthquakes", path, 3)
+    near = tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 5)
+    assert {r[0] for r in near.select("event_date").distinct().collect()} == {date(2024, 1, d) for d in (9, 10, 11)}
+    assert len(near.inputFiles()) < len(tables.read_table(spark, "earthquakes", path, batched=True).inputFiles())
+    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 3).count() == 0
 
 
 def test_all_kinds_have_a_schema():
