@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..operators.mart import risk_zones
 from ..operators.staging import stage_air, stage_fires, stage_quakes
 from ..operators.zones import active_zones
+from ..schemas import KINDS
+from ..sinks.tables import read_table
 
-SOURCES = ("earthquakes", "wildfires", "pollution")
+SOURCES = KINDS
 
 
 def staged(quakes: DataFrame, fires: DataFrame, air: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -27,6 +29,12 @@ def mart(quakes: DataFrame, fires: DataFrame, air: DataFrame, as_of: datetime |
     return risk_zones(zones(quakes, fires, air, as_of), as_of)
 
 
+def open_sources(spark: SparkSession, root: str, batched: bool = True) -> None:
+    """The stored base tables below ``root`` under the names in ``SOURCES``."""
+    for name in SOURCES:
+        read_table(spark, name, f"{root.rstrip('/')}/{name}", batched=batched).createOrReplaceTempView(name)
+
+
 def register_views(spark: SparkSession, as_of: datetime | None = None) -> None:
     """Staging and zone views over the views or tables named in ``SOURCES``."""
     tables = [spark.table(name) for name in SOURCES]

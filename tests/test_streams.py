@@ -121,9 +121,10 @@ def test_failing_sink_stops_the_stream(spark, topic_dir, tmp_path):
         raise RuntimeError("sink is down")
 
     stream = streams.typed(streams.file_stream(spark, "earthquakes", topic_dir), "earthquakes")
-    query = jobs.change_feed(stream, "earthquakes", publish, str(tmp_path / "c"), NOW)
+    spark.streams.resetTerminated()
+    jobs.change_feed(stream, "earthquakes", publish, str(tmp_path / "c"), NOW)
     with pytest.raises(Exception, match="sink is down"):
-        query.awaitTermination(60)
+        jobs.wait_any(spark, 60)
 
 
 def test_table_stream_and_layout(spark, sf_dir, tmp_path):
