@@ -26,7 +26,7 @@ from .plans import layers
 from .schemas import FEATURES, KINDS, LABEL, STREAM_SCHEMA, ZONE
 from .session import scratch_path, settled, use_utc
 from .sinks import tables, topics
-from .sources import dimensions
+from .sources import dimensions, landing
 from .streaming import jobs
 from .streaming.topics import first_seen
 
@@ -90,6 +90,35 @@ def normalize_air(events):
     return normalize.normalize(fixtures.raw_air(events), "pollution", fixtures.INGESTED_AT)
 
 
+# The same through landing files that Spark writes from the raw feeds
+
+
+@_events_query
+def landed_quakes(events):
+    path = scratch_path(events.sparkSession, "landing-quakes")
+    fixtures.raw_quakes(events).select(F.array(F.struct("*")).alias("features")).write.json(path)
+    raw = landing.quake_files(events.sparkSession, path, one_per_line=True)
+    return normalize.normalize(raw, "earthquakes", fixtures.INGESTED_AT)
+
+
+@_events_query
+def landed_fires(events):
+    path = scratch_path(events.sparkSession, "landing-fires")
+    fixtures.raw_fires(events).write.option("header", True).csv(path)
+    return normalize.normalize(landing.fire_files(events.sparkSession, path), "wildfires", fixtures.INGESTED_AT)
+
+
+@_events_query
+def landed_air(events):
+    path = scratch_path(events.sparkSession, "landing-air")
+    ids = ["country_id", "parameter_id"]
+    feed = fixtures.raw_air(events)
+    results = F.array(F.struct(*(c for c in feed.columns if c not in ids))).alias("results")
+    feed.select(*ids, results).write.partitionBy(*ids).json(path)
+    raw = landing.air_files(events.sparkSession, path, one_per_line=True)
+    return normalize.normalize(raw, "pollution", fixtures.INGESTED_AT)
+
+
 def _candidates(events):
     return {kind: normalize.CANDIDATES[kind](fixtures.RAW[kind](events), fixtures.INGESTED_AT) for kind in KINDS}
 
@@ -340,8 +369,8 @@ def predictions_latest(events):
 def _streamed(t: BaseTables, start: Callable) -> DataFrame:
     """Quakes of the events, delivered twice, as a stream run to its end; the table it landed."""
     # a pattern, as a stream takes a plain path to be a folder and the table may be a single file
-    landing = t.spark.readStream.schema(fixtures.EVENTS).parquet(f"{t.sf_dir.rstrip('/')}/events.parque[t]")
-    timed = fixtures.quakes(landing).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    arriving = t.spark.readStream.schema(fixtures.EVENTS).parquet(f"{t.sf_dir.rstrip('/')}/events.parque[t]")
+    timed = fixtures.quakes(arriving).withColumn("event_time", F.col("event_time").cast("timestamp"))
     twice = timed.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
     table, checkpoint = scratch_path(t.spark, "landed"), scratch_path(t.spark, "progress")
     start(twice, "earthquakes", table, checkpoint, {"availableNow": True}).awaitTermination()

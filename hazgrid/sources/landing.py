@@ -22,9 +22,13 @@ def _unfold(files: DataFrame, items: str, keep: tuple[str, ...] = ()) -> DataFra
     return rows.select(*keep, "item.*", CORRUPT)
 
 
-def quake_files(spark: SparkSession, path: str) -> DataFrame:
-    """Feature collections -> one row per feature."""
-    files = spark.read.schema(QUAKE_FILE).option("multiLine", True).json(path)
+def quake_files(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Feature collections -> one row per feature.
+
+    A file is one document, as the service sends it; with ``one_per_line`` every line is
+    one, which lets Spark cut large files into tasks.
+    """
+    files = spark.read.schema(QUAKE_FILE).option("multiLine", not one_per_line).json(path)
     return _unfold(files, "features")
 
 
@@ -45,7 +49,7 @@ def fire_files(spark: SparkSession, path: str) -> DataFrame:
     return listed.select(*columns)
 
 
-def air_files(spark: SparkSession, path: str) -> DataFrame:
+def air_files(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Result pages below ``country_id=…/parameter_id=…`` -> rows tagged with both ids."""
-    files = spark.read.schema(AIR_FILE).option("multiLine", True).json(path)
+    files = spark.read.schema(AIR_FILE).option("multiLine", not one_per_line).json(path)
     return _unfold(files, "results", keep=("country_id", "parameter_id"))

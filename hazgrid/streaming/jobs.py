@@ -13,7 +13,7 @@ from ..operators.dedup import distinct_events, new_events
 from ..schemas import KINDS
 from ..session import use_utc
 from ..sinks.tables import landed_on, read_table, write_batch
-from .topics import file_stream, first_seen, typed
+from .topics import file_stream, first_seen, typed, unreadable
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -68,6 +68,20 @@ def append_new_stream(
     return _started(rows, each, checkpoint, f"append_new_{kind}", trigger)
 
 
+def reject_stream(
+    bad: DataFrame, kind: str, rejects: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep what could not be read, with the reason, as it came."""
+    return (
+        bad.writeStream.queryName(f"rejects_{kind}")
+        .format("parquet")
+        .option("path", f"{rejects.rstrip('/')}/{kind}")
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/rejects_{kind}")
+        .trigger(**(trigger or TRIGGER))
+        .start()
+    )
+
+
 def start_all(
     spark: SparkSession,
     topics: str,
@@ -77,12 +91,14 @@ def start_all(
     max_files: int | None = None,
     source: Callable[[str], DataFrame] | None = None,
     dedup: str = "table",
+    rejects: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """One stream per kind.
 
     ``source`` gives the messages of a topic; by default text files below ``topics``.
     ``dedup="table"`` checks against what has landed; ``"state"`` against keys kept for the
-    feed's longest repeat, which reads no table but drops rows later than that.
+    feed's longest repeat, which reads no table but drops rows later than that. With a
+    ``rejects`` folder, unreadable messages are written there by streams of their own.
     """
     use_utc(spark)
     read = source or (lambda kind: file_stream(spark, kind, topics, max_files))
@@ -94,6 +110,8 @@ def start_all(
             running[kind] = append_stream(first_seen(rows, kind), kind, table, checkpoint, trigger)
         else:
             running[kind] = append_new_stream(rows, kind, table, checkpoint, trigger)
+        if rejects:
+            running[f"rejects_{kind}"] = reject_stream(unreadable(read(kind), kind), kind, rejects, checkpoint, trigger)
     return running
 
 

@@ -92,6 +92,17 @@ def test_unreadable_messages(spark, tmp_path):
     assert bad == ["malformed", "malformed", "no_event_time"]
 
 
+def test_unreadable_messages_are_kept(spark, tmp_path):
+    for kind in KINDS:
+        (tmp_path / "topics" / kind).mkdir(parents=True)
+        (tmp_path / "topics" / kind / "m.txt").write_text("{broken\n")
+    root = str(tmp_path)
+    running = jobs.start_all(spark, f"{root}/topics", f"{root}/t", f"{root}/c", NOW, rejects=f"{root}/rejects")
+    finish(running)
+    for kind in KINDS:
+        assert [tuple(r) for r in spark.read.parquet(f"{root}/rejects/{kind}").collect()] == [("malformed", "{broken")]
+
+
 def test_watermark_alone_drops_nothing(spark, tmp_path):
     root = tmp_path / "pollution"
     root.mkdir()
