@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,7 +106,7 @@ def training_set(
 
     def part(df: DataFrame, span: dict[str, float], strong: Column, **measures: Column) -> DataFrame:
         names = ("mag", "depth_km", "frp", "pm25", "no2")
-        recent = F.col("event_time") >= moment(at) - F.make_dt_interval(hours=F.lit(label_hours).cast("int"))
+        recent = F.col("event_time") >= moment(at - timedelta(hours=label_hours), dict(df.dtypes)["event_time"])
         rows = since(_placed(df), at, **span)
         return rows.select(
             *zone_columns(),
@@ -151,12 +151,16 @@ def zone_features(
 
 
 def training_set_joined(
-    quakes: DataFrame, fires: DataFrame, air: DataFrame, as_of: datetime | None = None
+    quakes: DataFrame,
+    fires: DataFrame,
+    air: DataFrame,
+    as_of: datetime | None = None,
+    label_hours: float = LABEL_HOURS,
 ) -> DataFrame:
     """The training set by left joins; unlabelled zones are negatives."""
     at = as_of or utc_now()
     features = zone_features_joined(quakes, fires, air, at)
-    labelled = features.join(label_zones(quakes, fires, at), list(ZONE), "left")
+    labelled = features.join(label_zones(quakes, fires, at, label_hours), list(ZONE), "left")
     return labelled.withColumn(LABEL, F.coalesce(F.col(LABEL), F.lit(0))).select(*FEATURES, LABEL)
 
 

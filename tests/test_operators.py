@@ -65,8 +65,9 @@ def test_zone_forms_agree_and_zones_are_unique(t):
 
 
 def test_feature_forms_agree(t):
-    args = (t.quakes, t.fires, t.air, t.as_of)
-    assert as_rows(rounded(features.training_set(*args))) == as_rows(rounded(features.training_set_joined(*args)))
+    for hours in (24, 7 * 24):
+        args = (t.quakes, t.fires, t.air, t.as_of, hours)
+        assert as_rows(rounded(features.training_set(*args))) == as_rows(rounded(features.training_set_joined(*args)))
 
 
 def test_label_horizon_must_fit(t):
