@@ -92,6 +92,11 @@ def test_group_limit_runs_before_the_shuffle(t):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
+def test_new_events_shuffles_once(t):
+    plan = dedup.new_events(t.quakes, t.quakes, "earthquakes")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("Partial")
+
+
 def test_missing_key_parts_are_equal(spark):
     schema = "lat double, lon double, acq_date string, acq_time string, satellite string, ingested_at string"
     rows = spark.createDataFrame([(None, 1.0, "d", "t", "N", "1")], schema)
