@@ -151,6 +151,10 @@ def test_table_stream_and_layout(spark, sf_dir, tmp_path):
     for file in glob.glob(f"{path}/event_date=*/batch_id=0/*.parquet"):
         stored = pq.read_table(file, partitioning=None, columns=["event_time", "id"]).to_pylist()
         assert stored == sorted(stored, key=lambda r: (r["event_time"], r["id"]))
+        footer = pq.ParquetFile(file)
+        at = footer.schema_arrow.names.index("event_time")
+        assert footer.schema.column(at).physical_type == "INT64"
+        assert footer.metadata.row_group(0).column(at).statistics.has_min_max
 
 
 def test_horizon_prunes_folders(spark, sf_dir, tmp_path):
