@@ -4,19 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup,)
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).drop("text")
+    return bpe.decoded(ids, TOKENIZER).select(
+        "doc_id",
+        bpe.n_tokens().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding)
 
 
 def queries() -> dict[str, Query]:
