@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, linededup, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,34 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding, op9_line_dedup)
+
+OP9_SQL = """
+WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(l[i:i + 2], chr(10))) AS h
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)
+  WHERE regexp_matches(array_to_string(l[i:i + 2], chr(10)), '[^ \t-\r]')
+),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM windows)
+  WHERE n > 1
+),
+gone AS (SELECT DISTINCT doc_id, i + step AS i FROM later, (SELECT unnest([0, 1, 2]) AS step)),
+each_line AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
+kept AS (
+  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS text
+  FROM each_line e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id
+),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS INTEGER) AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN counts c ON d.doc_id = c.doc_id
+"""
 
 
 def queries() -> dict[str, Query]:
@@ -37,4 +64,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": OP9_SQL}
