@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, simhash
+from ..session import scratch_path
+from . import bpe, linededup, simhash, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding, op9_line_dedup)
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-files")
+    tokenfile.write(table(spark, sf_dir, "documents"), out, TOKENIZER)
+    rows = tokenfile.checksums(tokenfile.read(spark, out))
+    found = tokenfile.starts(rows, tokenfile.read(spark, out).select("shard", "n_tokens"))
+    return found.select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids_crc32")
+
+
+QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding, op9_line_dedup, op10_token_files)
 
 OP9_SQL = """
 WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
