@@ -70,3 +70,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             "node", F.coalesce("last", "component").alias("component")
         )
     return reached
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, by: str, bound: int) -> DataFrame:
+    """Documents with their labels, about ``bound`` at most for each value of the SQL expression ``by``.
+
+    A document is taken by a hash of its id, so the sample is the same in every run. Of labels
+    repeated for one document the largest holds; documents and labels without id, and values
+    that are null, take no part. The result has the document's columns and ``grade``, the value.
+    Only sampled labels are broadcast, and their number is bounded.
+    """
+    names = [c for c in labels.columns if c != "doc_id"]
+    once = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in names])
+    graded = once.select(F.col("doc_id"), F.expr(by).alias("grade")).filter("grade IS NOT NULL")
+    counts = {row["grade"]: row["count"] for row in graded.groupBy("grade").count().collect()}
+    share = F.lit(1.0)
+    for grade, count in counts.items():
+        share = F.when(F.col("grade") == grade, min(1.0, bound / count)).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    return docs.join(F.broadcast(graded.filter(place < share)), "doc_id")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, linededup, simhash, tokenfile
-from .common import table
+from . import bpe, linededup, quality, simhash, tokenfile, toxicity
+from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (in_fold() == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).drop("text")
     return bpe.decoded(ids, TOKENIZER).select(
@@ -30,6 +41,18 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        (in_fold() == 0).alias("held_out"),
+        "expected_grade",
+        F.element_at("tails", 1).alias("tail"),
+        (F.element_at("tails", 1) >= 0.5).alias("kept"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -43,7 +66,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids_crc32")
 
 
-QUERIES: tuple[Query, ...] = (op1_simhash_near_dedup, op5_bpe_encoding, op9_line_dedup, op10_token_files)
+QUERIES: tuple[Query, ...] = (
+    op1_simhash_near_dedup,
+    op2_toxicity,
+    op5_bpe_encoding,
+    op8_quality_classifier,
+    op9_line_dedup,
+    op10_token_files,
+)
 
 OP9_SQL = """
 WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
