@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, linededup, quality, simhash, tokenfile, toxicity
+from . import bpe, linededup, quality, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("bigint")
+    base = F.filter("spans", lambda s: s.kind != "markov")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER).drop("text")
     return bpe.decoded(ids, TOKENIZER).select(
@@ -69,6 +81,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Query, ...] = (
     op1_simhash_near_dedup,
     op2_toxicity,
+    op4_secret_scan,
     op5_bpe_encoding,
     op8_quality_classifier,
     op9_line_dedup,
