@@ -193,12 +193,15 @@ class Vocabulary:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text. Strings of added tokens in it become those tokens."""
-        return next(self.memory.encode([text]))
+        return self.memory.encode([text])[0].tobytes()
 
     def decode(self, packed: bytes) -> str:
-        """The text of packed ids; bytes that are no UTF-8 become replacement characters."""
-        ids = np.frombuffer(packed, "<u4").tolist()
-        return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
+        return text_of(packed, self.bytes)
+
+
+def text_of(packed: bytes, token: list[bytes]) -> str:
+    """The text of packed ids; bytes that are no UTF-8 become replacement characters."""
+    return b"".join([token[i] for i in np.frombuffer(packed, "<u4").tolist()]).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
@@ -207,14 +210,19 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _mapped(docs: DataFrame, source, to: str, kind: pa.DataType, sql_kind: str, function) -> DataFrame:
+@lru_cache(maxsize=1)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id, which is all that decoding needs."""
+    return Vocabulary(path).bytes
+
+
+def _mapped(docs: DataFrame, source, to: str, sql_kind: str, function) -> DataFrame:
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), source.alias("from"))
     out = packed.select("doc", F.lit(None).cast(sql_kind).alias("to")).schema
 
     def run(batches):
         for batch in batches:
-            values = pa.array(function(batch.column("from").to_pylist()), kind)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), values], names=["doc", "to"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), function(batch.column("from"))], names=["doc", "to"])
 
     kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != to.lower()]
     return packed.mapInArrow(run, out).select(*kept, F.col("to").alias(to))
@@ -226,13 +234,22 @@ def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids") ->
     ``path`` is the tokenizer file as every worker sees it. A missing text is encoded as
     empty, and empty texts have no ids. A column named ``to`` is replaced.
     """
-    return _mapped(docs, whole_text(text), to, pa.binary(), "binary", lambda t: vocabulary(path).memory.encode(t))
+
+    def encode(texts: pa.Array) -> pa.Array:
+        ids, sizes = vocabulary(path).memory.encode(texts.to_pylist())
+        ends = np.concatenate([[0], np.cumsum(4 * sizes)]).astype("i4")
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+
+    return _mapped(docs, whole_text(text), to, "binary", encode)
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """All rows and columns with the text of the packed ids in column ``to``; null ids are no ids."""
-    source = F.coalesce(F.col(ids), F.lit(b""))
-    return _mapped(rows, source, to, pa.string(), "string", lambda p: map(vocabulary(path).decode, p))
+
+    def decode(packed: pa.Array) -> pa.Array:
+        return pa.array([text_of(p, token_bytes(path)) for p in packed.to_pylist()], pa.string())
+
+    return _mapped(rows, F.coalesce(F.col(ids), F.lit(b"")), to, "string", decode)
 
 
 def n_tokens(ids: str = "ids"):

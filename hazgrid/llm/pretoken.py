@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The white space of Unicode, and the pieces in the order they are tried.
@@ -26,7 +28,7 @@ def pieces(text: str) -> list[str]:
 
 #: Units whose ids a worker remembers, the longest of them, and characters encoded at a time. When the
 #: memory is full the longer half is forgotten: this bounds a worker's memory and changes no result.
-REMEMBERED, LONGEST, AT_ONCE = 600_000, 40, 1_000_000
+REMEMBERED, LONGEST, AT_ONCE = 400_000, 40, 3_000_000
 
 #: Blanks besides space and line end, and a dot or comma without a letter, digit or line end before it.
 _odd_blank = re.compile("[\\0\\t\x0b-\\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
@@ -42,10 +44,10 @@ class Memory(dict):
     """Packed ids of text units, so that each distinct unit is encoded once while it is remembered.
 
     A unit is one piece or a few that stand together: a single blank starts a new piece, and so
-    do a dot or comma behind a letter and what follows a line end, so most texts are cut with
-    ``str.split`` at marks put in there; others are cut piece by piece. ``encode_units``
-    takes the units not yet known and returns their packed ids; ``added`` maps the strings
-    that are tokens wherever they stand to their ids.
+    do a dot or comma behind a letter and what follows a line end, so most texts are cut at
+    marks put in there, and their units numbered, by Arrow; others are cut piece by piece.
+    ``encode_units`` takes the units not yet known and returns their packed ids; ``added``
+    maps the strings that are tokens wherever they stand to their ids.
     """
 
     def __init__(self, encode_units: Callable[[list[str]], Iterable[bytes]], added: dict[str, int]):
@@ -53,41 +55,67 @@ class Memory(dict):
         longest_first = sorted(added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if added else None
 
-    def units(self, text: str) -> list:
-        if self.cut and any(token in text for token in self.added):
-            found: list = []
-            for i, part in enumerate(self.cut(text)):
-                found.extend([self.added[part]] if i % 2 else self.units(part))
-            return found
-        if _tangled(text):
-            return pieces(text)
-        marked = text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0")
-        return marked.split("\0")
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _packed(self, units: list[str]) -> list[bytes]:
         if len(self) > REMEMBERED:
-            by_length = sorted((unit for unit in self if isinstance(unit, str)), key=len)
+            by_length = sorted(self, key=len)
             for unit in by_length[len(by_length) // 2 :]:
                 del self[unit]
-        cut = [self.units(text) for text in texts]
-        new = list(set().union(*cut).difference(self))
-        if not all(isinstance(unit, str) for unit in new):
-            self.update((unit, np.array([unit], "<u4").tobytes()) for unit in new if isinstance(unit, int))
-            new = [unit for unit in new if isinstance(unit, str)]
+        new = [unit for unit in units if unit not in self]
         self.update(zip(new, self.encode_units(new)))
-        packed = [b"".join(map(self.__getitem__, units)) for units in cut]
+        packed = list(map(self.__getitem__, units))
         for unit in new:
             if len(unit) > LONGEST:
                 del self[unit]
         return packed
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The packed ids of each whole text."""
-        some, size = [], 0
+    def _piecewise(self, text: str) -> np.ndarray:
+        found = []
+        for i, part in enumerate(self.cut(text) if self.cut else [text]):
+            if i % 2:
+                found.append(np.array([self.added[part]], "<u4").tobytes())
+            else:
+                each = pieces(part)
+                known = dict(zip(each, each))  # distinct, in order
+                known = dict(zip(known, self._packed(list(known))))
+                found.extend(map(known.__getitem__, each))
+        return np.frombuffer(b"".join(found), "<u4")
+
+    def _marked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        marked = pa.array(texts, pa.string())
+        for mark, to in ((" ", "\0 "), (".", "\0."), (",", "\0,"), ("\n", "\0\n\0")):
+            marked = pc.replace_substring(marked, mark, to)
+        cut = pc.split_pattern(marked, "\0")
+        numbered = cut.values.dictionary_encode()
+        packed = self._packed(numbered.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, packed), "i8", len(packed)) // 4
+        pool, first = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
+        codes = numbered.indices.to_numpy()
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        at = np.repeat(first[codes] - ends + each, each)
+        at += np.arange(len(at))
+        return pool[at], np.diff(np.concatenate([[0], ends])[cut.offsets.to_numpy()])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [not _tangled(text) and not any(token in text for token in self.added) for text in texts]
+        ids, sizes = self._marked([text for text, is_plain in zip(texts, plain) if is_plain])
+        if all(plain):
+            return ids, sizes
+        cut = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        parts = [next(cut) if is_plain else self._piecewise(text) for text, is_plain in zip(texts, plain)]
+        return np.concatenate(parts), np.array([len(part) for part in parts])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, one after the other, and how many each text has."""
+        done, some, size = [], [], 0
         for text in texts:
             some.append(text)
             size += len(text)
             if size > AT_ONCE:
-                yield from self._encode(some)
+                done.append(self._encode(some))
                 some, size = [], 0
-        yield from self._encode(some)
+        if some:
+            done.append(self._encode(some))
+        if not done:
+            return np.zeros(0, "<u4"), np.zeros(0, "i8")
+        return np.concatenate([ids for ids, _ in done]), np.concatenate([sizes for _, sizes in done])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, linededup, quality, secrets, simhash, tokenfile, toxicity
+from . import bpe, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,20 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    named = docs.withColumn("topic", mixing.topic()).withColumn("tokens", mixing.tokens()).drop("text")
+    return mixing.chances(named, size="tokens").select(
+        "doc_id",
+        "source",
+        "lang",
+        "topic",
+        "tokens",
+        F.round("chance", 6).alias("chance"),
+        (mixing.draw() < F.col("chance")).alias("kept"),
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -83,6 +97,7 @@ QUERIES: tuple[Query, ...] = (
     op2_toxicity,
     op4_secret_scan,
     op5_bpe_encoding,
+    op6_source_mixing,
     op8_quality_classifier,
     op9_line_dedup,
     op10_token_files,

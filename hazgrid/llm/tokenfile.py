@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -48,7 +49,7 @@ def library(path: str) -> Memory:
 
     def encode_units(units):
         found = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(encoding.ids, "<u4").tobytes() for encoding in found]
+        return [array("I", encoding.ids).tobytes() for encoding in found]  # four bytes, least first, where Spark runs
 
     added = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
     return Memory(encode_units, added)
@@ -58,15 +59,14 @@ def tokenized(rows: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """``rows`` (doc_id, text, ...) with ``tokens`` instead of the text: its ids and the end id."""
     rest = [c for c in rows.columns if c != "text"]
     schema = rows.select(*rest, F.array(F.lit(0)).alias("tokens")).schema
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            packed = [ids + end for ids in library(path).encode(texts)]
-            ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)])
-            values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            ids, sizes = library(path).encode(texts)
+            closed = np.insert(ids, np.cumsum(sizes), end_id).view("<i4")
+            ends = np.concatenate([[0], np.cumsum(sizes + 1)])
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(closed))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), tokens], names=[*rest, "tokens"])
 
     return rows.mapInArrow(run, schema)
