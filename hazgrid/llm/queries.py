@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
+from . import bitslice, bpe, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("bigint")
@@ -67,6 +71,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -95,9 +103,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Query, ...] = (
     op1_simhash_near_dedup,
     op2_toxicity,
+    op3_top_k_search,
     op4_secret_scan,
     op5_bpe_encoding,
     op6_source_mixing,
+    op7_embedding_near_dedup,
     op8_quality_classifier,
     op9_line_dedup,
     op10_token_files,
@@ -126,9 +136,24 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN counts c ON d
 """
 
 
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op3_top_k_search": OP3_SQL, "op9_line_dedup": OP9_SQL}
