@@ -23,12 +23,12 @@ from .ml import explain, model
 from .operators import attribution, dedup, features, markers, metrics, normalize, profile, serving, split, zones
 from .operators.staging import stage_air, stage_fires, stage_quakes
 from .plans import layers
-from .schemas import FEATURES, KINDS, LABEL, STREAM_SCHEMA, ZONE
+from .schemas import FEATURES, KINDS, LABEL, NATURAL_KEY, STREAM_SCHEMA, ZONE
 from .session import scratch_path, settled, use_utc
 from .sinks import tables, topics
 from .sources import dimensions, landing
 from .streaming import jobs
-from .streaming.topics import first_seen
+from .streaming import topics as messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -310,11 +310,50 @@ def marker_layer(t):
     return _rounded(layer, "x", "y", "z", "size", "opacity")
 
 
+def _pulled_to_end(t: BaseTables, kind: str, rows: DataFrame) -> DataFrame:
+    """All rows of the last two days in pulls, times cut to days so that far more rows share one than a pull takes."""
+    daily = rows.withColumn("event_time", F.date_trunc("DAY", "event_time").cast("timestamp_ntz"))
+    midnight = t.as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    cursor, pulled = (midnight - timedelta(days=2), None), None
+    while True:
+        page = settled(serving.pull_since(daily, kind, cursor[0], last_key=cursor[1]), f"pull-{kind}")
+        pulled = page if pulled is None else pulled.unionAll(page)
+        after = serving.next_cursor(page, kind, *cursor)
+        if after == cursor:
+            return _real_integers(pulled)
+        cursor = after
+
+
+@_query
+def pull_to_end_quakes(t):
+    return _pulled_to_end(t, "earthquakes", t.quakes)
+
+
+@_query
+def pull_to_end_fires(t):
+    return _pulled_to_end(t, "wildfires", t.fires)
+
+
+@_query
+def pull_to_end_air(t):
+    return _pulled_to_end(t, "pollution", t.air)
+
+
 @_query
 def quake_details(t):
     return markers.detail_text(t.quakes)
 
 
+@_query
+def fire_details(t):
+    return markers.fire_detail_text(t.fires)
+
+
+@_query
+def air_details(t):
+    return markers.air_detail_text(t.air)
+
+
 # Delivery: dedup, encoding, profile
 
 
@@ -336,6 +375,41 @@ def new_events_antijoin(t):
     return dedup.new_events(_delivered_twice(t.quakes), landed, "earthquakes")
 
 
+def _fire_deliveries(t: BaseTables) -> DataFrame:
+    return fixtures.deliveries(t.fires, "daynight = 'D'")
+
+
+def _air_deliveries(t: BaseTables) -> DataFrame:
+    return fixtures.deliveries(t.air, "parameter = 'o3'", sensor_id="IF(location_id LIKE '%7', NULL, sensor_id)")
+
+
+@_query
+def dedup_fires(t):
+    """Three deliveries of every fire, of which some miss the earliest; positions may be missing."""
+    return dedup.distinct_events(_fire_deliveries(t), "wildfires")
+
+
+@_query
+def dedup_air(t):
+    """Three deliveries of every reading, of which some miss the earliest; sensors may be missing."""
+    return dedup.distinct_events(_air_deliveries(t), "pollution")
+
+
+@_query
+def new_fires(t):
+    """Of these, fires older than a week had landed before."""
+    landed = t.fires.filter(F.col("event_time") < moment(t.as_of - timedelta(days=7)))
+    return dedup.new_events(_fire_deliveries(t), landed, "wildfires")
+
+
+@_query
+def new_air(t):
+    """Of these, readings older than a week had landed before, as they came last."""
+    deliveries = _air_deliveries(t)
+    landed = deliveries.filter(F.col("event_time") < moment(t.as_of - timedelta(days=7)))
+    return dedup.new_events(deliveries, landed, "pollution")
+
+
 @_query
 def tsv_encode(t):
     parts = [
@@ -366,31 +440,60 @@ def predictions_latest(events):
     return latest.withColumn("ml_risk_label", risk_label(F.col("ml_risk_score")))
 
 
-def _streamed(t: BaseTables, start: Callable) -> DataFrame:
-    """Quakes of the events, delivered twice, as a stream run to its end; the table it landed."""
-    # a pattern, as a stream takes a plain path to be a folder and the table may be a single file
-    arriving = t.spark.readStream.schema(fixtures.EVENTS).parquet(f"{t.sf_dir.rstrip('/')}/events.parque[t]")
-    timed = fixtures.quakes(arriving).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    twice = timed.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    table, checkpoint = scratch_path(t.spark, "landed"), scratch_path(t.spark, "progress")
-    start(twice, "earthquakes", table, checkpoint, {"availableNow": True}).awaitTermination()
-    rows = tables.read_table(t.spark, "earthquakes", table, batched=True).drop("batch_id", "event_date")
-    return rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+BATCHES = 5
+
+
+def _streamed(t: BaseTables, kind: str, order: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Every event delivered twice, as message files in the given order that a stream takes one by one; what it landed."""
+    rows = {"earthquakes": t.quakes, "wildfires": t.fires, "pollution": t.air}[kind]
+    twice = rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    root, table, progress = (scratch_path(t.spark, name) for name in ("messages", "landed", "progress"))
+    topics.land_messages(order(twice).drop("_copy", "event_time"), kind, root)
+    arriving = messages.typed(messages.file_stream(t.spark, kind, root, max_files=1), kind)
+    jobs.append_new_stream(arriving, kind, table, progress, {"availableNow": True}).awaitTermination()
+    landed = tables.read_table(t.spark, kind, table, batched=True).drop("batch_id", "event_date")
+    landed = landed.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    # which of several events with one key comes first depends on the order of files; the keys do not
+    return landed if kind == "earthquakes" else landed.select(*NATURAL_KEY[kind])
+
+
+def _shuffled(rows: DataFrame) -> DataFrame:
+    return rows.repartition(BATCHES, F.xxhash64(*rows.columns))
+
+
+def _newest_first(rows: DataFrame) -> DataFrame:
+    """A replay backwards: every batch brings first sightings far behind what was seen."""
+    return rows.repartitionByRange(BATCHES, F.desc("event_time"), "_copy")
 
 
 @_query
 def stream_new_quakes(t):
-    """Landed by the stream that checks each batch against the table."""
-    return _streamed(t, jobs.append_new_stream)
+    return _streamed(t, "earthquakes", _shuffled)
+
+
+@_query
+def stream_new_fires(t):
+    return _streamed(t, "wildfires", _shuffled)
+
+
+@_query
+def stream_new_air(t):
+    return _streamed(t, "pollution", _shuffled)
 
 
 @_query
 def stream_first_quakes(t):
-    """Landed by the stream that remembers keys within a watermark."""
-    def start(rows, kind, *rest):
-        return jobs.append_stream(first_seen(rows, kind), kind, *rest)
+    return _streamed(t, "earthquakes", _newest_first)
+
+
+@_query
+def stream_first_fires(t):
+    return _streamed(t, "wildfires", _newest_first)
+
 
-    return _streamed(t, start)
+@_query
+def stream_first_air(t):
+    return _streamed(t, "pollution", _newest_first)
 
 
 # Features, labels, split
@@ -471,6 +574,13 @@ def average_precision(events):
     return _rounded(measures.select("positives", "average_precision"), "average_precision")
 
 
+@_events_query
+def ranking_with_gaps(events):
+    """Both measures over scores of which some are missing or not a number."""
+    measures = metrics.ranking(fixtures.scored_with_gaps(events), "label", "score")
+    return _rounded(measures, "roc_auc", "average_precision")
+
+
 @_events_query
 def classification_report(events):
     guessed = fixtures.scored(events).withColumn("prediction", F.when(F.col("score") >= 50, 1).otherwise(0))
@@ -512,6 +622,36 @@ def _model_query(build: Callable) -> Callable:
     return build
 
 
+@_model_query
+def model_invariants(path, zone_rows, holdout):
+    """What must hold of any trained model's scores, contributions and weights, whatever its trees are."""
+    loaded = model.load(path)
+    scores, spark = model.predictions(loaded, zone_rows), zone_rows.sparkSession
+    score = F.col("ml_risk_score")
+    label = F.when(score > 0.7, "critical").when(score > 0.4, "high").when(score > 0.2, "moderate").otherwise("low")
+    scored = scores.agg(
+        F.count("*").alias("zones"),
+        F.min(score.between(0, 1)).alias("scores_in_range"),
+        F.min(F.col("ml_risk_label") == label).alias("labels_follow_scores"),
+    ).first()
+    margins = model.scored(loaded, zone_rows).select(*ZONE, "margin")
+    long = explain.attribution_long(zone_rows, path)
+    sums = long.groupBy(*ZONE, "base_value").agg(F.sum("shap_value").alias("sum"), F.count("*").alias("features"))
+    explained = sums.join(margins, list(ZONE)).agg(
+        F.count("*").alias("explained_zones"),
+        F.sum("features").alias("contributions"),
+        F.min(F.abs(F.col("base_value") + F.col("sum") - F.col("margin")) < 1e-6).alias("contributions_add_up"),
+    ).first()
+    weights = model.importances(spark, loaded).agg(
+        F.count("*").alias("inputs"), F.abs(F.sum("importance") - 1).alias("off")
+    ).first()
+    row = {**scored.asDict(), **explained.asDict(), "inputs": weights["inputs"], "weights_add_up": weights["off"] < 1e-6}
+    return spark.createDataFrame([tuple(row.values())], StructType.fromDDL(
+        "zones bigint, scores_in_range boolean, labels_follow_scores boolean, explained_zones bigint, "
+        "contributions bigint, contributions_add_up boolean, inputs bigint, weights_add_up boolean"
+    ))
+
+
 @_model_query
 def ml_score_zones(path, zone_rows, holdout):
     return model.predictions(model.load(path), zone_rows)

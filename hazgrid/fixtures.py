@@ -197,6 +197,23 @@ def scored(source: DataFrame) -> DataFrame:
     return source.selectExpr("IF(event_type = 'error', 1, 0) AS label", "CAST(floor(value) AS DOUBLE) AS score")
 
 
+def scored_with_gaps(source: DataFrame) -> DataFrame:
+    """The same with scores that are missing or not a number."""
+    score = "CASE WHEN user_id % 7 = 0 THEN NULL WHEN user_id % 11 = 0 THEN DOUBLE('NaN') ELSE floor(value) END"
+    return source.selectExpr("IF(event_type = 'error', 1, 0) AS label", f"CAST({score} AS DOUBLE) AS score")
+
+
+def deliveries(rows: DataFrame, without_first: str, **replaced: str) -> DataFrame:
+    """Three deliveries of every row, the last first; those that ``without_first`` holds for miss the earliest.
+
+    ``replaced`` are SQL expressions for columns, to take out parts of a key.
+    """
+    rows = rows.withColumns({c: F.expr(e) for c, e in replaced.items()})
+    each = rows.withColumn("_copy", F.explode(F.array(*map(F.lit, (2, 0, 1)))))
+    kept = each.filter(f"NOT (_copy = 0 AND coalesce({without_first}, false))")
+    return kept.withColumn("ingested_at", F.format_string("2024-02-01T%02d:00:00+00:00", "_copy")).drop("_copy")
+
+
 def prediction_runs(source: DataFrame) -> DataFrame:
     """Scores of zones over time: many rows per zone, one per event."""
     placed = _keyed(source, "all").selectExpr("ts", "value", _LAT, _LON).filter(has_place())

@@ -23,6 +23,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return ranked.filter(F.col("_place") <= n).drop("_place")
 
 
+SALTS = 64
+
+
+def first_per_key_salted(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salts: int = SALTS) -> DataFrame:
+    """``first_per_key`` for an ``n`` that is large or keys that are few.
+
+    Rows of a key are first limited in ``salts`` parts by a hash of the whole row, and then
+    together, so a key's last task gets ``n * salts`` rows at most, however many tasks read.
+    """
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    return first_per_key(first_per_key(parted, [*keys, "_part"], order, n).drop("_part"), keys, order, n)
+
+
 def _delivery_order(events: DataFrame, kind: str) -> list[Column]:
     """Earliest delivery first; equal stamps are settled by the whole row."""
     rest = [c for c in events.columns if c not in NATURAL_KEY[kind] and c != "ingested_at"]

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clock import seconds_text
 from ..functions.encode import fixed
 from ..functions.grid import has_place, on_sphere
+from ..schemas import AIR_UNIT
 
 # Fixed values of the map: radii, sizes, colours, and the reading below which air counts as clean.
 QUAKE_RADIUS, FIRE_RADIUS, AIR_RADIUS = 1.01, 1.008, 1.006
@@ -70,4 +72,27 @@ def detail_text(quakes: DataFrame) -> DataFrame:
         F.concat(fixed(F.col("depth_km"), 1), F.lit(" km")).alias("depth"),
         F.when(F.length("status") > 0, F.col("status")).otherwise(dash).alias("status"),
         F.when(F.col("tsunami") != 0, "Yes").otherwise("No").alias("tsunami"),
+        F.coalesce(seconds_text(F.col("event_time")), dash).alias("time"),
+    )
+
+
+def fire_detail_text(fires: DataFrame) -> DataFrame:
+    """The lines of the detail panel of a fire."""
+    return fires.select(
+        "lat", "lon",
+        F.lit("Active Wildfire").alias("title"),
+        F.concat(fixed(F.col("frp"), 1), F.lit(" MW")).alias("frp"),
+        F.concat(fixed(F.col("brightness"), 1), F.lit(" K")).alias("brightness"),
+        "confidence", "satellite",
+        F.concat_ws(" ", "acq_date", "acq_time").alias("time"),
+    )
+
+
+def air_detail_text(air: DataFrame) -> DataFrame:
+    """The lines of the detail panel of a reading."""
+    return air.select(
+        F.concat(F.lit("Pollution — "), F.upper("parameter")).alias("title"),
+        F.concat(fixed(F.col("value"), 1), F.lit(f" {AIR_UNIT}")).alias("value"),
+        F.when(F.length("country") > 0, F.col("country")).otherwise("—").alias("country"),
+        F.col("location_id").alias("station"),
     )

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled
 from .ranking import running_totals
 
-BLOCKS = 512
-
 
 def _by_score(rows: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score: a third of all rows at one score become one row."""
-    return rows.groupBy(F.col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score: a third of all rows at one score become one row.
+
+    Rows without a score, or whose score is not a number, are one row with a NULL score.
+    """
+    value = F.col(score).cast("double")
+    return rows.groupBy(F.when(~F.isnan(value), value).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
 
@@ -22,18 +23,16 @@ def _by_score(rows: DataFrame, label: str, score: str) -> DataFrame:
 def _ranked(rows: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score: its positives and negatives, and those of all higher scores.
 
-    The scored table is read once: its distinct scores are written out, and what follows
-    works on them. Blocks are cut at quantiles of the distinct scores, so each holds a like
-    share of them however the scores are spread; the cuts (fewer than ``BLOCKS``) are all
-    the driver sees.
+    Distinct scores are dealt out by range, as many ranges as the session has shuffle
+    partitions, and written with their range; what follows works on these. The row of NULL
+    scores stays beside, above nothing.
     """
-    scores = settled(_by_score(rows, label, score), "scores")
-    shares = F.array(*(F.lit(i / BLOCKS) for i in range(1, BLOCKS)))
-    cuts = scores.agg(F.percentile_approx("score", shares, F.lit(BLOCKS * 4))).first()[0] or []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    blocks = Bucketizer(splits=splits, inputCol="score", outputCol="low_block", handleInvalid="keep")
-    blocked = blocks.transform(scores).withColumn("block", -F.col("low_block")).drop("low_block")
-    return running_totals(blocked, "block", [F.desc("score")], {"pos": "pos_above", "neg": "neg_above"})
+    ranged = _by_score(rows, label, score).repartitionByRange(F.desc_nulls_last("score"))
+    scores = settled(ranged.withColumn("block", F.spark_partition_id()), "scores")
+    above = {"pos": "pos_above", "neg": "neg_above"}
+    ranked = running_totals(scores.filter("score IS NOT NULL"), "block", [F.desc("score")], above)
+    zero = [F.lit(0).cast("bigint").alias(name) for name in above.values()]
+    return ranked.unionByName(scores.filter("score IS NULL").select("*", *zero))
 
 
 def ranking(rows: DataFrame, label: str, score: str) -> DataFrame:
@@ -41,15 +40,18 @@ def ranking(rows: DataFrame, label: str, score: str) -> DataFrame:
 
     ``roc_auc``: share of positive-negative pairs in the right order, ties counting half.
     ``average_precision``: precision at each distinct score weighted by the recall gained there.
+    ``unscored``: rows that take no part because their score is NULL or not a number.
     """
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    has_score = F.col("score").isNotNull()
+    pos, neg = (F.when(has_score, F.col(c)).otherwise(0).cast("double") for c in ("pos", "neg"))
     hits = F.col("pos_above") + F.col("pos")
     taken = hits + F.col("neg_above") + F.col("neg")
     return _ranked(rows, label, score).agg(
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
+        F.sum(pos).cast("bigint").alias("positives"),
+        F.sum(neg).cast("bigint").alias("negatives"),
+        F.sum(F.when(has_score, 0).otherwise(F.col("pos") + F.col("neg"))).cast("bigint").alias("unscored"),
         F.try_divide(F.sum(neg * (F.col("pos_above") + pos / 2)), F.sum(pos) * F.sum(neg)).alias("roc_auc"),
-        F.try_divide(F.sum(pos * hits / taken), F.sum(pos)).alias("average_precision"),
+        F.try_divide(F.sum(F.try_divide(pos * hits, taken)), F.sum(pos)).alias("average_precision"),
     )
 
 

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import moment, seconds_text, since
-from .dedup import first_per_key
+from ..functions.clock import moment, seconds_text, since, utc_now
+from .dedup import first_per_key, first_per_key_salted
 
 # Result limits.
 QUAKE_ROWS, FIRE_ROWS, AIR_ROWS, ZONE_ROWS, SNAPSHOT_ROWS = 500, 1000, 500, 200, 200
@@ -87,7 +87,7 @@ def top_risk_zones(mart: DataFrame, limit: int = ZONE_ROWS) -> DataFrame:
 def global_stats(
     quakes: DataFrame, fires: DataFrame, air: DataFrame, as_of: datetime | None = None, hours: float = 24
 ) -> DataFrame:
-    """Four scalars in one row and one aggregate: each task sends a single partial row."""
+    """Four scalars and the time they hold for, in one row and one aggregate: each task sends a single partial row."""
     def part(df: DataFrame, kind: str, mag: Column) -> DataFrame:
         return since(df, as_of, hours=hours).select(F.lit(kind).alias("kind"), mag.alias("mag"))
 
@@ -100,6 +100,7 @@ def global_stats(
         F.count_if(F.col("kind") == "fire").alias("wildfires_24h"),
         F.count_if(F.col("kind") == "air").alias("pollution_24h"),
         F.max("mag").alias("max_mag_24h"),
+        seconds_text(moment(as_of or utc_now())).alias("timestamp"),
     )
 
 
@@ -115,8 +116,9 @@ def pull_since(
     edge = moment(last, dict(events.dtypes)["event_time"])
     newer = F.col("event_time") > edge
     if last_key is not None:
-        here = F.struct(*(F.col(c) for c in columns))
-        there = F.struct(*(F.lit(v).cast(dict(events.dtypes)[c]).alias(c) for c, v in zip(columns, last_key)))
+        kinds = dict(events.dtypes)
+        here = F.struct(*(part for c in columns for part in _comparable(F.col(c), kinds[c])))
+        there = F.struct(*(part for c, v in zip(columns, last_key) for part in _comparable(F.lit(v).cast(kinds[c]), kinds[c])))
         newer = newer | ((F.col("event_time") == edge) & (here > there))
     rows = events.filter(newer)
     if "event_date" in events.columns:
@@ -125,21 +127,38 @@ def pull_since(
     return rows.orderBy(*order).limit(limit or PULL_ROWS[kind]).select(*columns, "event_time")
 
 
-def next_cursor(pulled: DataFrame, last: datetime) -> datetime:
-    """The newest time in a pull of at most a hundred rows; unchanged when nothing came."""
-    newest = pulled.agg(F.max("event_time")).first()[0]
-    return newest or last
+def _comparable(value: Column, kind: str) -> tuple[Column, Column]:
+    """A value and whether it is there, so that comparing never yields NULL and missing values come first."""
+    return value.isNotNull(), F.coalesce(value, F.lit("" if kind == "string" else 0).cast(kind))
+
+
+Cursor = tuple[datetime, tuple | None]
+
+
+def next_cursor(pulled: DataFrame, kind: str, last: datetime, last_key: tuple | None = None) -> Cursor:
+    """Time and key of the last row of a pull, where the next one goes on; unchanged when nothing came.
+
+    With both, rows that share the last time are sent by the next pull, however many they are.
+    """
+    columns = _COLUMNS[kind]
+    row = pulled.orderBy(F.desc("event_time"), *(F.desc(c) for c in columns)).first()
+    return (row["event_time"], tuple(row[c] for c in columns)) if row else (last, last_key)
 
 
 def event_feed(
-    quakes: DataFrame, fires: DataFrame, air: DataFrame, cursors: dict[str, datetime], limits: dict[str, int] | None = None
+    quakes: DataFrame, fires: DataFrame, air: DataFrame, cursors: dict[str, datetime | Cursor],
+    limits: dict[str, int] | None = None,
 ) -> DataFrame:
-    """New events of all three kinds as one feed; ``_type`` says which columns are filled."""
+    """New events of all three kinds as one feed; ``_type`` says which columns are filled.
+
+    A cursor is a time, or what ``next_cursor`` returned.
+    """
     tables = {"earthquakes": quakes, "wildfires": fires, "pollution": air}
     tags = {"earthquakes": "earthquake", "wildfires": "wildfire", "pollution": "pollution"}
     feed = None
     for kind, events in tables.items():
-        pulled = pull_since(events, kind, cursors[kind], (limits or PULL_ROWS)[kind])
+        last, key = cursors[kind] if isinstance(cursors[kind], tuple) else (cursors[kind], None)
+        pulled = pull_since(events, kind, last, (limits or PULL_ROWS)[kind], key)
         part = pulled.withColumn("event_time", seconds_text(F.col("event_time"))).withColumn("_type", F.lit(tags[kind]))
         feed = part if feed is None else feed.unionByName(part, allowMissingColumns=True)
     return feed
@@ -149,4 +168,4 @@ def latest_per_request(air: DataFrame, n: int = SOURCE_ROWS) -> DataFrame:
     """What the air service returns: the newest ``n`` readings per country and parameter."""
     columns = (*_COLUMNS["pollution"], "sensor_id")
     order = [F.desc("event_time"), *_ties(("location_id", "sensor_id", "value", "lat", "lon"))]
-    return _shown(first_per_key(air, ["country", "parameter"], order, n), columns)
+    return _shown(first_per_key_salted(air, ["country", "parameter"], order, n), columns)

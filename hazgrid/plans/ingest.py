@@ -9,7 +9,7 @@ from ..functions.clock import utc_now, with_event_time
 from ..operators import normalize
 from ..operators.dedup import distinct_events, new_events
 from ..session import settled, use_utc
-from ..sinks.tables import landed_on, write_batch
+from ..sinks.tables import days_of, landed_on, write_batch
 from ..sources import landing
 
 READERS = {"earthquakes": landing.quake_files, "wildfires": landing.fire_files, "pollution": landing.air_files}
@@ -33,8 +33,7 @@ def ingest(
     """
     rows = settled(judged(spark, kind, path, ingested_at), f"ingest-{kind}")
     good = rows.filter(F.col(normalize.REASON).isNull()).drop(normalize.REASON)
-    days = [r[0] for r in good.select(F.to_date("event_time")).distinct().collect()]
-    landed = landed_on(spark, kind, table, days, run)
+    landed = landed_on(spark, kind, table, days_of(good), run)
     fresh = settled(
         distinct_events(good, kind) if landed is None else new_events(good, landed, kind), f"fresh-{kind}"
     )

@@ -12,6 +12,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
+# The fields of each stream's messages.
 QUAKE = _struct(
     id=_TEXT, mag=_REAL, place=_TEXT, time_ms=_LONG, lon=_REAL, lat=_REAL, depth_km=_REAL,
     alert=_TEXT, tsunami=_WHOLE, sig=_WHOLE, status=_TEXT, mag_type=_TEXT, net=_TEXT, ingested_at=_TEXT,

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import distinct_events, latest_per_key
 from ..schemas import SORT_KEY, STREAM_SCHEMA, ZONE
+from ..session import settled
+
+MOST_DAYS = 400
 
 
 def _laid_out(events: DataFrame, kind: str, *folders: str) -> DataFrame:
@@ -19,8 +22,6 @@ def _laid_out(events: DataFrame, kind: str, *folders: str) -> DataFrame:
     several files and pack thin dates together; sorting by the table key inside each
     task gives every file and row group narrow min/max ranges to skip by.
     """
-    # the default 96-bit times carry no min/max, so files and row groups could not be skipped by time
-    events.sparkSession.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return events.hint("rebalance", F.col("event_date")).sortWithinPartitions(*folders, *SORT_KEY[kind])
 
 
@@ -32,12 +33,54 @@ def write_table(events: DataFrame, kind: str, path: str, mode: str = "append") -
     _laid_out(_dated(events), kind, "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the file system it is on, whichever that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _started_before(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether this batch was begun before; notes that it is now. The mark is in a folder that readers skip."""
+    mark, files = _place(spark, f"{path.rstrip('/')}/_batches/{batch_id}")
+    return not files.createNewFile(mark)
+
+
+def _remove(spark: SparkSession, pattern: str) -> None:
+    place, files = _place(spark, pattern)
+    for found in files.globStatus(place) or []:
+        files.delete(found.getPath(), True)
+
+
 def write_batch(events: DataFrame, kind: str, path: str, batch_id: int) -> None:
-    """One micro-batch, in a folder of its own below each date: a retry replaces it, so no row is doubled."""
-    folders = ("event_date", "batch_id")
+    """One micro-batch, in a folder of its own below each date.
+
+    A batch that was begun before is removed from all dates first, so that a repeat replaces
+    it whole, also where its rows now fall on other dates. A new batch looks at one mark only.
+    """
+    folders, spark = ("event_date", "batch_id"), events.sparkSession
+    if _started_before(spark, path, batch_id):
+        _remove(spark, f"{path.rstrip('/')}/event_date=*/batch_id={batch_id}")
     rows = _dated(events).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    writer = _laid_out(rows, kind, *folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*folders).parquet(path)
+    _laid_out(rows, kind, *folders).write.mode("append").partitionBy(*folders).parquet(path)
+
+
+def compact(spark: SparkSession, kind: str, path: str, day: date) -> None:
+    """Put the batches of a closed day into one folder, sorted, each observation once.
+
+    For days whose batches will not be repeated. The merged rows replace the newest batch's
+    folder before the others go; what a stopped run leaves doubled, the next one merges.
+    """
+    folder = f"{path.rstrip('/')}/event_date={day.isoformat()}"
+    table = _reader(spark, kind, "timestamp", batched=True).option("basePath", path).parquet(folder)
+    batches = sorted(r["batch_id"] for r in table.select("batch_id").distinct().collect())
+    if len(batches) < 2:
+        return
+    rows = settled(distinct_events(table.drop("batch_id"), kind), f"compact-{kind}")
+    _remove(spark, f"{folder}/batch_id={batches[-1]}")
+    merged = rows.hint("rebalance").sortWithinPartitions(*SORT_KEY[kind]).drop("event_date")
+    merged.write.mode("overwrite").parquet(f"{folder}/batch_id={batches[-1]}")
+    for batch in batches[:-1]:
+        _remove(spark, f"{folder}/batch_id={batch}")
 
 
 def _reader(spark: SparkSession, kind: str, time: str, batched: bool) -> DataFrameReader:
@@ -57,21 +100,29 @@ def read_table(
     return _reader(spark, kind, time, batched).parquet(path)
 
 
-def landed_on(spark: SparkSession, kind: str, path: str, days: list[date], before_batch: int) -> DataFrame | None:
-    """Rows of earlier batches on the given days and their neighbours; None when there are none.
+def landed_on(spark: SparkSession, kind: str, path: str, days: list[date], batch_id: int) -> DataFrame | None:
+    """Rows of other batches on the given days and their neighbours; None when there are none.
 
-    Only the folders of these days are listed, however long the table's history is.
+    Only the folders of these days are listed, however long the table's history is; beyond
+    ``MOST_DAYS`` days the table is read as it is.
     """
-    near = sorted({(day + timedelta(days=shift)).isoformat() for day in days for shift in (-1, 0, 1)})
+    shifted = (day.toordinal() + shift for day in days for shift in (-1, 0, 1))
+    near = sorted({date.fromordinal(n).isoformat() for n in shifted if 1 <= n <= date.max.toordinal()})
     root = path.rstrip("/")
     reader = _reader(spark, kind, "timestamp", batched=True).option("basePath", root)
     try:
-        table = reader.parquet(f"{root}/event_date={{{','.join(near)}}}")
+        table = reader.parquet(f"{root}/event_date={{{','.join(near)}}}" if len(near) <= MOST_DAYS else root)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return table.filter(F.col("batch_id") < before_batch)
+    return table.filter(F.col("batch_id") != batch_id)
+
+
+def days_of(events: DataFrame) -> list[date]:
+    """The days a batch touches, ``MOST_DAYS`` and one at most (bad clocks can name any day)."""
+    days = events.select(F.to_date("event_time").alias("day")).filter("day IS NOT NULL").distinct()
+    return [r["day"] for r in days.limit(MOST_DAYS + 1).collect()]
 
 
 def append_predictions(predictions: DataFrame, path: str, run_id: str) -> None:

@@ -12,8 +12,8 @@ from ..functions.clock import seconds_text
 from ..operators.dedup import distinct_events, new_events
 from ..schemas import KINDS
 from ..session import use_utc
-from ..sinks.tables import landed_on, read_table, write_batch
-from .topics import file_stream, first_seen, typed, unreadable
+from ..sinks.tables import days_of, landed_on, read_table, write_batch
+from .topics import MAX_FILES, file_stream, typed, unreadable, with_watermark
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -57,15 +57,15 @@ def append_new_stream(
 
     A batch is reduced to one row per key before its only shuffle, and landed keys are read
     from the days the batch touches. No state is kept between batches, nothing grows with
-    time, and no late row is dropped.
+    time, and no late row is dropped, be it a repeat or a first sighting. Rows without event time
+    belong to the rejects and are left to ``unreadable``.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        days = [r[0] for r in batch.select(F.to_date("event_time")).distinct().collect() if r[0]]
-        landed = landed_on(batch.sparkSession, kind, table, days, batch_id)
+        landed = landed_on(batch.sparkSession, kind, table, days_of(batch), batch_id)
         fresh = distinct_events(batch, kind) if landed is None else new_events(batch, landed, kind)
         write_batch(fresh, kind, table, batch_id)
 
-    return _started(rows, each, checkpoint, f"append_new_{kind}", trigger)
+    return _started(rows.filter("event_time IS NOT NULL"), each, checkpoint, f"append_new_{kind}", trigger)
 
 
 def reject_stream(
@@ -88,28 +88,22 @@ def start_all(
     tables: str,
     checkpoint: str,
     trigger: dict | None = None,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     source: Callable[[str], DataFrame] | None = None,
-    dedup: str = "table",
     rejects: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """One stream per kind.
 
-    ``source`` gives the messages of a topic; by default text files below ``topics``.
-    ``dedup="table"`` checks against what has landed; ``"state"`` against keys kept for the
-    feed's longest repeat, which reads no table but drops rows later than that. With a
-    ``rejects`` folder, unreadable messages are written there by streams of their own.
+    ``source`` gives the messages of a topic; by default text files below ``topics``,
+    ``max_files`` of them at a time. With a ``rejects`` folder, unreadable messages are written
+    there by streams of their own.
     """
     use_utc(spark)
     read = source or (lambda kind: file_stream(spark, kind, topics, max_files))
     running = {}
     for kind in KINDS:
-        rows, table = typed(read(kind), kind), f"{tables.rstrip('/')}/{kind}"
-        rows = rows.filter(F.col("event_time").isNotNull())  # the others are listed by ``unreadable``
-        if dedup == "state":
-            running[kind] = append_stream(first_seen(rows, kind), kind, table, checkpoint, trigger)
-        else:
-            running[kind] = append_new_stream(rows, kind, table, checkpoint, trigger)
+        rows, table = with_watermark(typed(read(kind), kind), kind), f"{tables.rstrip('/')}/{kind}"
+        running[kind] = append_new_stream(rows, kind, table, checkpoint, trigger)
         if rejects:
             running[f"rejects_{kind}"] = reject_stream(unreadable(read(kind), kind), kind, rejects, checkpoint, trigger)
     return running

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clock import with_event_time
-from ..schemas import NATURAL_KEY, STREAM_SCHEMA
+from ..schemas import STREAM_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
-# How long a stream waits for late rows, and how long a key is remembered: air data may
-# be two hours late; the fire feed repeats everything it saw in the last day.
-LATENESS = {"earthquakes": "1 hour", "wildfires": "24 hours", "pollution": "2 hours"}
-REDELIVERY = {"earthquakes": "25 hours", "wildfires": "25 hours", "pollution": "25 hours"}
+# Fixed value: how late rows of a stream may be for stateful steps.
+LATENESS = {"pollution": "2 hours"}
+# What one batch takes in at most, so that a backlog is worked off in steps.
+MAX_OFFSETS, MAX_FILES = 1_000_000, 1_000
 
 
-def broker_stream(spark: SparkSession, topic: str, servers: str, max_offsets: int | None = None) -> DataFrame:
+def broker_stream(spark: SparkSession, topic: str, servers: str, max_offsets: int | None = MAX_OFFSETS) -> DataFrame:
     """Messages of a topic from now on; needs the Kafka connector on the class path."""
     reader = (
         spark.readStream.format("kafka")
@@ -31,7 +31,7 @@ def broker_stream(spark: SparkSession, topic: str, servers: str, max_offsets: in
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def file_stream(spark: SparkSession, topic: str, root: str, max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, topic: str, root: str, max_files: int | None = MAX_FILES) -> DataFrame:
     """Messages from text files below ``root/topic``, one JSON object per line."""
     reader = spark.readStream.format("text")
     if max_files:
@@ -61,15 +61,6 @@ def unreadable(messages: DataFrame, kind: str) -> DataFrame:
 
 
 def with_watermark(rows: DataFrame, kind: str, lateness: str | None = None) -> DataFrame:
-    """Mark how late rows may be. On its own this drops nothing; stateful steps downstream use it."""
-    return rows.withWatermark("event_time", lateness or LATENESS[kind])
-
-
-def first_seen(rows: DataFrame, kind: str, window: str | None = None) -> DataFrame:
-    """Each observation once, however often the feed repeats it within ``window``.
-
-    The state holds one entry per key for that long and no longer, unlike a set of all
-    ids ever seen. Rows that come later than ``window`` after the newest are dropped.
-    """
-    marked = rows.withWatermark("event_time", window or REDELIVERY[kind])
-    return marked.dropDuplicatesWithinWatermark(list(NATURAL_KEY[kind]))
+    """Mark how late rows may be, where that is stated. On its own this drops nothing; stateful steps use it."""
+    late = lateness or LATENESS.get(kind)
+    return rows.withWatermark("event_time", late) if late else rows

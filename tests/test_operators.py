@@ -130,6 +130,18 @@ def test_auc_and_ap_equal_brute_force(spark, spread):
     assert judge.evaluate(df) == pytest.approx(brute_auc(rows), abs=1e-9)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_measures_stay_in_range_with_gaps(spark, seed):
+    rng = random.Random(seed)
+    draw = lambda: rng.choice([None, float("nan"), 0.0, -0.0, 0.5, rng.random(), float("inf"), float("-inf")])
+    rows = [(rng.choice([0, 1, 1, None]), draw()) for _ in range(120)]
+    row = metrics.ranking(spark.createDataFrame(rows, "y int, s double"), "y", "s").first()
+    known = [(y, s) for y, s in rows if y is not None and s is not None and s == s]
+    assert row["positives"] + row["negatives"] == len(known)
+    assert row["unscored"] == sum(y is not None for y, _ in rows) - len(known)
+    assert 0 <= row["average_precision"] <= 1 and row["roc_auc"] == pytest.approx(brute_auc(known), abs=1e-12)
+
+
 def test_auc_needs_both_classes(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.2)], "y int, s double")
     row = metrics.ranking(df, "y", "s").first()
@@ -173,23 +185,24 @@ def test_class_weight_without_positives(spark):
 
 
 def test_pull_walks_the_whole_table_in_steps(t):
-    """The compound cursor visits every placed row once, also rows that share a time."""
-    same = t.quakes.filter("lat IS NOT NULL AND alert IS NOT NULL").withColumn("event_time", F.date_trunc("DAY", "event_time").cast("timestamp_ntz"))
-    last, key, seen = datetime(1970, 1, 1), None, []
+    """The compound cursor visits every row once, also rows that share a time."""
+    same = t.quakes.withColumn("event_time", F.date_trunc("DAY", "event_time").cast("timestamp_ntz"))
+    cursor, seen = (datetime(1970, 1, 1), None), []
     while True:
-        page = serving.pull_since(same, "earthquakes", last, limit=40, last_key=key).collect()
-        if not page:
+        page = serving.pull_since(same, "earthquakes", cursor[0], limit=40, last_key=cursor[1])
+        after = serving.next_cursor(page, "earthquakes", *cursor)
+        if after == cursor:
             break
-        seen += [r["id"] for r in page]
-        last, key = page[-1]["event_time"], tuple(page[-1])[:-1]
+        seen += [r["id"] for r in page.collect()]
+        cursor = after
     assert len(seen) == len(set(seen)) == same.count()
 
 
 def test_cursor_stays_when_nothing_is_new(t):
     pulled = serving.pull_since(t.quakes, "earthquakes", t.as_of)
-    assert serving.next_cursor(pulled, t.as_of) == t.as_of
+    assert serving.next_cursor(pulled, "earthquakes", t.as_of) == (t.as_of, None)
     before = t.as_of - timedelta(days=2)
-    assert serving.next_cursor(serving.pull_since(t.quakes, "earthquakes", before), before) > before
+    assert serving.next_cursor(serving.pull_since(t.quakes, "earthquakes", before), "earthquakes", before)[0] > before
 
 
 def test_envelope_keeps_order(t):

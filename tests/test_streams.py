@@ -44,12 +44,10 @@ def rows(df, kind):
     return sorted(map(tuple, df.select(*names).collect()), key=repr)
 
 
-@pytest.mark.parametrize("dedup", ["table", "state"])
-def test_tables_hold_each_event_once(spark, sf_dir, topic_dir, tmp_path, dedup):
+def test_tables_hold_each_event_once(spark, sf_dir, topic_dir, tmp_path):
     out, checkpoint = str(tmp_path / "tables"), str(tmp_path / "checkpoint")
-    # one file per batch makes repeats cross batches; with state all late repeats are dropped, not landed
-    max_files = 2 if dedup == "table" else None
-    finish(jobs.start_all(spark, topic_dir, out, checkpoint, NOW, max_files=max_files, dedup=dedup))
+    # two files per batch make repeats cross batches
+    finish(jobs.start_all(spark, topic_dir, out, checkpoint, NOW, max_files=2))
     for kind, df in base(spark, sf_dir).items():
         landed = tables.read_table(spark, kind, f"{out}/{kind}", batched=True)
         want = distinct_events(streams.with_event_time(df.drop("event_time"), kind), kind)
@@ -120,8 +118,10 @@ def test_watermark_alone_drops_nothing(spark, tmp_path):
 def test_change_feed_sends_each_row_once(spark, sf_dir, topic_dir, tmp_path):
     seen = []
     publish = lambda batch, batch_id: seen.extend(batch.select("id", "event_time", "_type").collect())
-    stream = streams.first_seen(streams.typed(streams.file_stream(spark, "earthquakes", topic_dir), "earthquakes"), "earthquakes")
+    rows, table = streams.typed(streams.file_stream(spark, "earthquakes", topic_dir), "earthquakes"), str(tmp_path / "t")
+    jobs.append_new_stream(rows, "earthquakes", table, str(tmp_path / "a"), NOW).awaitTermination(60)
     for _ in range(2):
+        stream = jobs.table_stream(spark, "earthquakes", table)
         jobs.change_feed(stream, "earthquakes", publish, str(tmp_path / "c"), NOW).awaitTermination(60)
     assert len(seen) == len({r["id"] for r in seen}) == base(spark, sf_dir)["earthquakes"].count()
     assert {r["_type"] for r in seen} == {"earthquake"}
@@ -180,5 +180,40 @@ def test_landed_rows_are_read_from_near_days_only(spark, sf_dir, tmp_path):
     assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 3).count() == 0
 
 
+def test_a_repeated_batch_replaces_itself_on_all_days(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path, on = str(tmp_path / "t"), lambda day: quakes.filter(F.to_date("event_time") == F.lit(day))
+    first, other = on(date(2024, 1, 9)), on(date(2024, 1, 12))
+    tables.write_batch(first, "earthquakes", path, 1)
+    tables.write_batch(other, "earthquakes", path, 2)
+    tables.write_batch(other.limit(1), "earthquakes", path, 1)
+    landed = tables.read_table(spark, "earthquakes", path, batched=True)
+    assert landed.filter("batch_id = 1").count() == 1
+    assert {r[0] for r in landed.select("event_date").distinct().collect()} == {date(2024, 1, 12)}
+    # a repeat is held against all other batches, later ones too
+    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 12)], 1).count() == other.count()
+
+
+def test_closed_days_are_put_into_one_folder(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path, day = str(tmp_path / "t"), date(2024, 1, 9)
+    rows = quakes.filter(F.to_date("event_time") == F.lit(day))
+    for batch, part in enumerate(rows.randomSplit([1.0] * 4, 3)):
+        tables.write_batch(part, "earthquakes", path, batch)
+    for _ in range(2):
+        tables.compact(spark, "earthquakes", path, day)
+        assert len(glob.glob(f"{path}/event_date={day}/*")) == 1
+        landed = tables.read_table(spark, "earthquakes", path, batched=True)
+        assert sorted(r["id"] for r in landed.collect()) == sorted(r["id"] for r in rows.collect())
+
+
+def test_days_beyond_any_list_are_read_whole(spark, sf_dir, tmp_path):
+    rows = base(spark, sf_dir)["earthquakes"].limit(3).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path = str(tmp_path / "t")
+    tables.write_batch(rows, "earthquakes", path, 0)
+    ends = [date.min, date.max, *(date.fromordinal(700_000 + 2 * n) for n in range(tables.MOST_DAYS))]
+    assert tables.landed_on(spark, "earthquakes", path, ends, 1).count() == 3
+
+
 def test_all_kinds_have_a_schema():
     assert set(STREAM_SCHEMA) == set(KINDS) == set(NATURAL_KEY)
