@@ -95,10 +95,35 @@ def normalize_air(events):
 
 @_events_query
 def landed_quakes(events):
+    raw = landing.quake_files(events.sparkSession, _quake_documents(events), one_per_line=True)
+    return normalize.normalize(raw, "earthquakes", fixtures.INGESTED_AT)
+
+
+PER_DOCUMENT = 25
+
+
+def _documents(rows: DataFrame, items: str, *keep: str) -> DataFrame:
+    """Rows gathered into documents of some observations each."""
+    item = F.struct(*(c for c in rows.columns if c not in keep)).alias("item")
+    numbered = rows.select(*keep, F.expr(f"monotonically_increasing_id() DIV {PER_DOCUMENT}").alias("document"), item)
+    return numbered.groupBy(*keep, "document").agg(F.collect_list("item").alias(items)).drop("document")
+
+
+def _quake_documents(events: DataFrame) -> str:
     path = scratch_path(events.sparkSession, "landing-quakes")
-    fixtures.raw_quakes(events).select(F.array(F.struct("*")).alias("features")).write.json(path)
+    _documents(fixtures.raw_quakes(events), "features").write.json(path)
+    return path
+
+
+@_events_query
+def landed_rejects(events):
+    """Rejected quake records per reason, read from documents of which some are cut off."""
+    path = _quake_documents(events)
+    broken = events.filter("event_type = 'error' AND event_id % 40 = 0")
+    broken.select(F.format_string('{"features": [{"id": "ev%s", ', "event_id").alias("value")).write.mode("append").text(path)
     raw = landing.quake_files(events.sparkSession, path, one_per_line=True)
-    return normalize.normalize(raw, "earthquakes", fixtures.INGESTED_AT)
+    candidates = normalize.CANDIDATES["earthquakes"](raw, fixtures.INGESTED_AT)
+    return normalize.rejected(candidates).groupBy(normalize.REASON).agg(F.count("*").alias("records"))
 
 
 @_events_query
@@ -113,8 +138,7 @@ def landed_air(events):
     path = scratch_path(events.sparkSession, "landing-air")
     ids = ["country_id", "parameter_id"]
     feed = fixtures.raw_air(events)
-    results = F.array(F.struct(*(c for c in feed.columns if c not in ids))).alias("results")
-    feed.select(*ids, results).write.partitionBy(*ids).json(path)
+    _documents(feed, "results", *ids).write.partitionBy(*ids).json(path)
     raw = landing.air_files(events.sparkSession, path, one_per_line=True)
     return normalize.normalize(raw, "pollution", fixtures.INGESTED_AT)
 
@@ -601,16 +625,22 @@ def top_drivers(t):
 # queries of a session, as the scoring and explaining jobs share one model file.
 
 MODEL_QUERIES: list[str] = []
-_STORED: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
+_STORED: dict[tuple, tuple[str, DataFrame, DataFrame]] = {}
+
+
+def _version(events: DataFrame) -> tuple:
+    """What tells a table from its successor in the same place: newest file, and bytes of all."""
+    files = events.select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
+    return tuple(files.agg(F.max("file_modification_time"), F.sum("file_size")).first())
 
 
 def _model_query(build: Callable) -> Callable:
     """Register a query over (path of the stored model, all zones, hold-out zones)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_utc(spark)
-        key = (spark.sparkContext.applicationId, sf_dir)
+        t = base_tables(spark, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, _version(t.source))
         if key not in _STORED:
-            t = base_tables(spark, sf_dir)
             trained = model.train(features.training_set(*_base(t), t.as_of))
             path = scratch_path(spark, "model")
             model.save(trained, path, t.as_of)

@@ -32,21 +32,26 @@ def quake_files(spark: SparkSession, path: str, one_per_line: bool = False) -> D
     return _unfold(files, "features")
 
 
+WIDEST = 64  # columns of a line that are looked at
+
+
 def fire_files(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited text with a header -> rows by column name.
+    """Delimited text, each file with a header of its own -> rows by column name.
 
-    The header of one file names the columns; a file whose header differs from it
-    stops the read instead of being taken by position.
+    Files may name their columns in any order and leave some out. A file is cut into tasks
+    like any text; its header is found by its names and joined to its lines. Lines of a file
+    without header, which no name says how to read, are corrupt.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    listed = (
-        spark.read.schema(", ".join(f"`{c}` string" for c in header))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    columns = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in FIRE_COLUMNS]
-    return listed.select(*columns)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(WIDEST)))
+    parts = F.transform(F.split("value", ","), lambda name: F.trim(F.translate(name, '"', "")))
+    is_header = F.array_contains(parts, "acq_date") & F.array_contains(parts, "latitude")
+    headers = lines.filter(is_header).groupBy("file").agg(F.min("value").alias("value"))
+    headers = headers.select("file", parts.alias("names"))
+    named = lines.filter(~is_header).join(headers, "file", "left")
+    read = named.select("names", "value", cells.alias("cells")).select("names", "value", F.array("cells.*").alias("cells"))
+    columns = [F.get("cells", (F.array_position("names", c) - 1).cast("int")).alias(c) for c in FIRE_COLUMNS]
+    return read.select(*columns, F.when(F.col("names").isNull(), F.col("value")).alias(CORRUPT))
 
 
 def air_files(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:

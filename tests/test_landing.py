@@ -89,11 +89,16 @@ def test_fires(spark, fire_dir):
     assert next(r for r in good if r["confidence"] == "high")["event_time"].isoformat() == "2024-04-26T00:48:00"
 
 
-def test_fire_header_mismatch_stops(spark, fire_dir, tmp_path):
-    names = HEADER.split(",")
-    (tmp_path / "g.csv").write_text(",".join([names[1], names[0], *names[2:]]) + "\n" + fire() + "\n")
-    with pytest.raises(Exception):
-        landing.fire_files(spark, fire_dir).collect()
+def test_fires_are_read_by_each_files_own_header(spark, tmp_path):
+    names, cells = HEADER.split(","), fire("high", frp="7.5").split(",")
+    (tmp_path / "a.csv").write_text(HEADER + "\n" + fire() + "\n")
+    (tmp_path / "b.csv").write_text(",".join(reversed(names)) + "\n" + ",".join(reversed(cells)) + "\n\n")
+    (tmp_path / "c.csv").write_text(",".join(names[:-1]) + "\n" + ",".join(cells[:-1]) + "\n")
+    (tmp_path / "d.csv").write_text(fire() + "\n")
+    rows = {(r["frp"], r["daynight"], r["latitude"], r["_corrupt_record"]) for r in landing.fire_files(spark, str(tmp_path)).collect()}
+    assert rows == {
+        ("12.5", "D", "1.5", None), ("7.5", "D", "1.5", None), ("7.5", None, "1.5", None), (None, None, None, fire()),
+    }
 
 
 def result(value=10.0, utc="2024-04-26T10:00:00Z", sensor=7, place=(1.0, 2.0), **more):
