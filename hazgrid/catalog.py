@@ -664,13 +664,12 @@ def model_invariants(path, zone_rows, holdout):
         F.min(score.between(0, 1)).alias("scores_in_range"),
         F.min(F.col("ml_risk_label") == label).alias("labels_follow_scores"),
     ).first()
-    margins = model.scored(loaded, zone_rows).select(*ZONE, "margin")
-    long = explain.attribution_long(zone_rows, path)
-    sums = long.groupBy(*ZONE, "base_value").agg(F.sum("shap_value").alias("sum"), F.count("*").alias("features"))
-    explained = sums.join(margins, list(ZONE)).agg(
+    values = F.map_values("shap_values")
+    off = F.col("base_value") + F.aggregate(values, F.lit(0.0), lambda a, b: a + b) - F.col("margin")
+    explained = explain.explained(zone_rows, path).agg(
         F.count("*").alias("explained_zones"),
-        F.sum("features").alias("contributions"),
-        F.min(F.abs(F.col("base_value") + F.col("sum") - F.col("margin")) < 1e-6).alias("contributions_add_up"),
+        F.sum(F.size(values)).alias("contributions"),
+        F.min(F.abs(off) < 1e-6).alias("contributions_add_up"),
     ).first()
     weights = model.importances(spark, loaded).agg(
         F.count("*").alias("inputs"), F.abs(F.sum("importance") - 1).alias("off")
