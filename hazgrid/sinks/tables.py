@@ -137,3 +137,31 @@ def latest_predictions(runs: DataFrame) -> DataFrame:
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return latest_predictions(spark.read.parquet(path).drop("run_id"))
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The written versions of a table, oldest first; one that was not finished has no success mark and is left out."""
+    place, files = _place(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
+    return sorted(int(f.getPath().getParent().getName().partition("=")[2]) for f in files.globStatus(place) or [])
+
+
+def merge_predictions(predictions: DataFrame, path: str) -> None:
+    """Replace the zones of a run in the current table: one row per zone, the newest prediction.
+
+    The table is a version per merge, of which the last two stay (readers may still be at the one
+    before). A merge reads the current version and the new run, not the history; one that was
+    stopped leaves a version without success mark, which the next merge overwrites.
+    """
+    spark, versions, root = predictions.sparkSession, _versions(predictions.sparkSession, path), path.rstrip("/")
+    rows = predictions
+    if versions:
+        rows = rows.unionByName(spark.read.parquet(f"{root}/version={versions[-1]}"))
+    now = versions[-1] + 1 if versions else 0
+    latest_predictions(rows).write.mode("overwrite").parquet(f"{root}/version={now}")
+    for old in versions[:-1]:
+        _remove(spark, f"{root}/version={old}")
+
+
+def current_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The current table, as the last finished merge left it."""
+    return spark.read.parquet(f"{path.rstrip('/')}/version={_versions(spark, path)[-1]}")

@@ -217,3 +217,15 @@ def test_days_beyond_any_list_are_read_whole(spark, sf_dir, tmp_path):
 
 def test_all_kinds_have_a_schema():
     assert set(STREAM_SCHEMA) == set(KINDS) == set(NATURAL_KEY)
+
+
+def test_merged_predictions_are_one_row_per_zone(spark, sf_dir, tmp_path):
+    runs, path = fixtures.prediction_runs(fixtures.events(spark, sf_dir)), str(tmp_path / "current")
+    days = sorted(r[0] for r in runs.select(F.substring("predicted_at", 1, 10)).distinct().collect())
+    for day in days[:5]:
+        tables.merge_predictions(runs.filter(F.col("predicted_at").startswith(day)), path)
+    (tmp_path / "current" / "version=9").mkdir()  # a merge that was stopped
+    wanted = tables.latest_predictions(runs.filter(F.substring("predicted_at", 1, 10).isin(*days[:5])))
+    found = tables.current_predictions(spark, path).select(wanted.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert len(glob.glob(f"{path}/version=*/_SUCCESS")) == 2
