@@ -31,7 +31,8 @@ PLACES, SAMPLE, STEPS, PENALTY = 1 << 15, 4_000, 150, 1e-3
 REMEMBERED = 200_000
 #: Grades of the labels table: poor, sound but toxic, sound.
 GRADE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END"
-REPEAT = 0
+#: The place of repeats and how many words one counts for: they are one weight, words are many.
+REPEAT, REPEATED = 0, 4
 
 _letters, _digits = re.compile(r"[^\W\d_]+").sub, re.compile(r"\d+").sub
 
@@ -54,7 +55,7 @@ def counts(text: str) -> dict[int, float]:
     for word in words:
         for at in places(word):
             found[at] = found.get(at, 0.0) + each
-    found[REPEAT] = each * sum(map(eq, words, words[1:]))
+    found[REPEAT] = REPEATED * each * sum(map(eq, words, words[1:]))
     return found
 
 
@@ -79,7 +80,7 @@ class Weigher(dict):
         if len(self) > REMEMBERED:
             self.clear()
         words = text.split()
-        repeats = sum(map(eq, words, words[1:]))
+        repeats = REPEATED * sum(map(eq, words, words[1:]))
         return (sum(map(self.__getitem__, words)) + repeats * self.weights[REPEAT]) / max(1, len(words))
 
 
