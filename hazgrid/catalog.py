@@ -578,11 +578,18 @@ def class_weight(t):
 
 @_query
 def stratified_split(t):
-    """First four fifths of each class by zone; the seeded variant only changes the order."""
+    """First four fifths of each class by zone."""
     rows = settled(features.training_set(*_base(t), t.as_of).select(*ZONE, LABEL), "zones")
     return split.split_by_order(rows, "zone_lat", [F.col("zone_lon")], [LABEL])
 
 
+@_query
+def stratified_split_seeded(t):
+    """The split that training uses."""
+    rows = settled(features.training_set(*_base(t), t.as_of).select(*ZONE, LABEL), "zones")
+    return split.stratified_split(rows)
+
+
 # Measures over scored rows
 
 

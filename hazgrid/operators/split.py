@@ -13,7 +13,7 @@ from .ranking import running_totals
 TRAIN_SHARE = 0.8
 SEED = 42
 MIN_POSITIVES = 5
-_HASH_BLOCKS = 4096
+_BLOCK_DIGITS = 4  # 65,536 blocks of like size
 
 
 def split_by_order(
@@ -38,11 +38,13 @@ def stratified_split(
     share: float = TRAIN_SHARE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Seeded split: rows are ordered by a hash of their key, stratified when positives are not too few."""
+    """Seeded split: rows are ordered by a hash of their key, stratified when positives are not too few.
+
+    The hash is the MD5 of key and seed as text, which other engines have too.
+    """
     positives = rows.agg(F.count_if(F.col(label) == 1)).first()[0]
-    mixed = rows.withColumn("_hash", F.xxhash64(*keys, F.lit(seed))).withColumn(
-        "_block", F.pmod("_hash", F.lit(_HASH_BLOCKS))
-    )
+    text = F.concat_ws(",", *(F.col(k).cast("string") for k in keys), F.lit(str(seed)))
+    mixed = rows.withColumn("_hash", F.md5(text)).withColumn("_block", F.substring("_hash", 1, _BLOCK_DIGITS))
     mixed = mixed.withColumn("_stratum", F.col(label) if positives > MIN_POSITIVES else F.lit(0))
     marked = split_by_order(mixed, "_block", [F.col("_hash"), *(F.col(k) for k in keys)], ["_stratum"], share)
     return marked.select(*rows.columns, "is_train")
