@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import slices, whole_text
 from .pretoken import Memory, pieces
 
 #: Up to this many bytes, the trees of many pieces are kept and changed side by side in arrays.
@@ -42,6 +42,17 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def _bytes(whole: dict) -> list[bytes]:
+    """The bytes of each id of a tokenizer file."""
+    byte_of, vocab = {letter: byte for byte, letter in enumerate(byte_letters())}, whole["model"]["vocab"]
+    found = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in whole["added_tokens"])]))
+    for token, i in vocab.items():
+        found[i] = bytes(byte_of[letter] for letter in token)
+    for token in whole["added_tokens"]:
+        found[token["id"]] = token["content"].encode()
+    return found
+
+
 class Vocabulary:
     """A byte-level BPE read from a tokenizer file."""
 
@@ -57,7 +68,6 @@ class Vocabulary:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
             raise ValueError(f"{path} has added tokens that take in their neighbours")
         letters, vocab = byte_letters(), model["vocab"]
-        byte_of = {letter: byte for byte, letter in enumerate(letters)}
         self.first = [vocab[letter] for letter in letters]
         self.ranks: dict[int, int] = {}
         self.merged: list[int] = []
@@ -65,12 +75,8 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(vocab[a] << 32 | vocab[b], rank)
             self.merged.append(vocab[a + b])
-        self.bytes = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in added)]))
-        for token, i in vocab.items():
-            self.bytes[i] = bytes(byte_of[letter] for letter in token)
+        self.bytes = _bytes(whole)
         self.added = {t["content"]: t["id"] for t in added}
-        for content, i in self.added.items():
-            self.bytes[i] = content.encode()
         pairs = sorted(self.ranks.items())
         self.pairs = np.array([pair for pair, _ in pairs] + [NO_PAIR])
         self.pair_ranks = np.array([rank for _, rank in pairs] + [0])
@@ -176,9 +182,9 @@ class Vocabulary:
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         cut = list(map(pieces, units))
-        ids = {piece: self.memory.get(piece) for unit in cut for piece in unit}
+        data = {piece: piece.encode("utf-8") for unit in cut for piece in unit}
+        ids: dict[str, bytes] = {}
         by_size: dict[int, list[str]] = {}
-        data = {piece: piece.encode("utf-8") for piece, packed in ids.items() if packed is None}
         for piece, word in data.items():
             by_size.setdefault(max(2, 1 << (len(word) - 1).bit_length()), []).append(piece)
         for size, some in by_size.items():
@@ -213,7 +219,8 @@ def vocabulary(path: str) -> Vocabulary:
 @lru_cache(maxsize=1)
 def token_bytes(path: str) -> list[bytes]:
     """The bytes of each id, which is all that decoding needs."""
-    return Vocabulary(path).bytes
+    with open(path, encoding="utf-8") as file:
+        return _bytes(json.load(file))
 
 
 def _mapped(docs: DataFrame, source, to: str, sql_kind: str, function) -> DataFrame:
@@ -221,7 +228,7 @@ def _mapped(docs: DataFrame, source, to: str, sql_kind: str, function) -> DataFr
     out = packed.select("doc", F.lit(None).cast(sql_kind).alias("to")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc"), function(batch.column("from"))], names=["doc", "to"])
 
     kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != to.lower()]

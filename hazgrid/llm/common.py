@@ -25,6 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that a worker holds the results of a few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, a missing one being empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

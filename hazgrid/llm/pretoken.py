@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -26,9 +27,9 @@ def pieces(text: str) -> list[str]:
     return _plain_pieces(text) if _PLAIN.fullmatch(text) else _all_pieces(text)
 
 
-#: Units whose ids a worker remembers, the longest of them, and characters encoded at a time. When the
-#: memory is full the longer half is forgotten: this bounds a worker's memory and changes no result.
-REMEMBERED, LONGEST, AT_ONCE = 400_000, 40, 3_000_000
+#: Units whose ids a worker remembers, units that are put in at a time, and characters encoded at a time.
+#: When the memory is full the longer half is forgotten: this bounds a worker's memory and changes no result.
+REMEMBERED, FRESH, AT_ONCE = 1_000_000, 100_000, 1_000_000
 
 #: Blanks besides space and line end, and a dot or comma without a letter, digit or line end before it.
 _odd_blank = re.compile("[\\0\\t\x0b-\\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
@@ -40,8 +41,51 @@ def _tangled(text: str) -> bool:
     return blanks or bool(_odd_blank(text) or _joined_mark(text))
 
 
-class Memory(dict):
-    """Packed ids of text units, so that each distinct unit is encoded once while it is remembered.
+class Known:
+    """Ids of units in sorted arrays, some 30 bytes each; a unit is known by 96 bits of two hashes of it."""
+
+    def __init__(self):
+        self.key, self.check = np.zeros(0, "i8"), np.zeros(0, "u4")
+        self.first, self.size = np.zeros(0, "i8"), np.zeros(0, "u4")
+        self.pool = np.zeros(0, "<u4")
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the units, and which of them are there."""
+        if not len(self.key):
+            return np.zeros(len(key), "i8"), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return at, (self.key[at] == key) & (self.check[at] == check)
+
+    def add(self, key: np.ndarray, check: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
+        """Units that are not there; ``pool`` has their ids one after the other."""
+        first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
+        keys = np.concatenate([self.key, key])
+        order = np.argsort(keys, kind="stable")  # two sorted runs: merged in one pass
+        self.key, self.first = keys[order], first[order]
+        self.check = np.concatenate([self.check, check])[order]
+        self.size = np.concatenate([self.size, size.astype("u4")])[order]
+        self.pool = np.concatenate([self.pool, pool])
+
+    def forget(self) -> None:
+        """The half with more ids goes: short units are the common ones."""
+        stay = self.size <= np.median(self.size)
+        if stay.all():
+            self.__init__()
+            return
+        pool = _gather(self.pool, self.first[stay], self.size[stay].astype("i8"))
+        self.key, self.check, self.size = self.key[stay], self.check[stay], self.size[stay]
+        self.pool, self.first = pool, np.cumsum(self.size, dtype="i8") - self.size
+
+
+def _gather(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of ``pool``, one after the other."""
+    at = np.repeat(first - np.cumsum(size) + size, size)
+    at += np.arange(len(at))
+    return pool[at]
+
+
+class Memory:
+    """Ids of text units, so that each distinct unit is encoded once while it is remembered.
 
     A unit is one piece or a few that stand together: a single blank starts a new piece, and so
     do a dot or comma behind a letter and what follows a line end, so most texts are cut at
@@ -54,31 +98,69 @@ class Memory(dict):
         self.encode_units, self.added = encode_units, added
         longest_first = sorted(added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if added else None
-
-    def _packed(self, units: list[str]) -> list[bytes]:
-        if len(self) > REMEMBERED:
-            by_length = sorted(self, key=len)
-            for unit in by_length[len(by_length) // 2 :]:
-                del self[unit]
-        new = [unit for unit in units if unit not in self]
-        self.update(zip(new, self.encode_units(new)))
-        packed = list(map(self.__getitem__, units))
-        for unit in new:
-            if len(unit) > LONGEST:
-                del self[unit]
-        return packed
+        self.old, self.fresh = Known(), Known()
+
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct units, one after the other, and how many each has."""
+        key = np.fromiter(map(hash, units), "i8", len(units))
+        check = np.fromiter((zlib.crc32(unit.encode()) for unit in units), "u4", len(units))
+        places = []
+        missing = np.ones(len(units), bool)
+        for known in (self.old, self.fresh):
+            at, there = known.find(key, check)
+            places.append((known, at, there))
+            missing &= ~there
+        new = np.flatnonzero(missing)
+        packed = list(self.encode_units([units[i] for i in new]))
+        pool, size = np.frombuffer(b"".join(packed), "<u4"), np.fromiter(map(len, packed), "i8", len(packed)) // 4
+        sizes, firsts = np.zeros(len(units), "i8"), np.zeros(len(units), "i8")
+        sizes[new], firsts[new] = size, np.cumsum(size) - size
+        pools = [pool]
+        for known, at, there in places:
+            sizes[there], firsts[there] = known.size[at[there]], known.first[at[there]] + sum(map(len, pools))
+            pools.append(known.pool)
+        # stretches of three pools, without copying the pools together
+        ids = np.empty(int(sizes.sum()), "<u4")
+        into, ends = np.cumsum(sizes) - sizes, np.cumsum([0, *map(len, pools)])
+        for which, chosen in enumerate([missing, *(there for _, _, there in places)]):
+            own, start = sizes[chosen], firsts[chosen] - ends[which]
+            to = np.repeat(into[chosen] - np.cumsum(own) + own, own)
+            to += np.arange(len(to))
+            ids[to] = _gather(pools[which], start, own)
+        self._keep(key[new], check[new], size, pool)
+        return ids, sizes
+
+    def _keep(self, key: np.ndarray, check: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
+        order = np.argsort(key)
+        ids = _gather(pool, (np.cumsum(size) - size)[order], size[order])
+        self.fresh.add(key[order], check[order], size[order], ids)
+        if len(self.fresh.key) > FRESH:
+            fresh, self.fresh = self.fresh, Known()
+            size = fresh.size.astype("i8")
+            self.old.add(fresh.key, fresh.check, size, _gather(fresh.pool, fresh.first, size))
+            if len(self.old.key) > REMEMBERED:
+                self.old.forget()
 
     def _piecewise(self, text: str) -> np.ndarray:
-        found = []
+        found: list[str | int] = []
         for i, part in enumerate(self.cut(text) if self.cut else [text]):
-            if i % 2:
-                found.append(np.array([self.added[part]], "<u4").tobytes())
-            else:
-                each = pieces(part)
-                known = dict(zip(each, each))  # distinct, in order
-                known = dict(zip(known, self._packed(list(known))))
-                found.extend(map(known.__getitem__, each))
-        return np.frombuffer(b"".join(found), "<u4")
+            found.extend([self.added[part]] if i % 2 else pieces(part))
+        distinct = list(dict.fromkeys(unit for unit in found if isinstance(unit, str)))
+        ids, sizes = self._units(distinct)
+        number = {unit: i for i, unit in enumerate(distinct)}
+        tokens = sorted({unit for unit in found if isinstance(unit, int)})
+        number |= {token: len(distinct) + i for i, token in enumerate(tokens)}
+        return self._numbered(
+            np.array([number[unit] for unit in found], "i8"),
+            np.concatenate([ids, np.array(tokens, "<u4")]),
+            np.concatenate([sizes, np.ones(len(tokens), "i8")]),
+        )[0]
+
+    @staticmethod
+    def _numbered(codes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units given by number, and where each ends."""
+        each = sizes[codes]
+        return _gather(ids, (np.cumsum(sizes) - sizes)[codes], each), np.cumsum(each)
 
     def _marked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         marked = pa.array(texts, pa.string())
@@ -86,15 +168,8 @@ class Memory(dict):
             marked = pc.replace_substring(marked, mark, to)
         cut = pc.split_pattern(marked, "\0")
         numbered = cut.values.dictionary_encode()
-        packed = self._packed(numbered.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, packed), "i8", len(packed)) // 4
-        pool, first = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
-        codes = numbered.indices.to_numpy()
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        at = np.repeat(first[codes] - ends + each, each)
-        at += np.arange(len(at))
-        return pool[at], np.diff(np.concatenate([[0], ends])[cut.offsets.to_numpy()])
+        ids, ends = self._numbered(numbered.indices.to_numpy(), *self._units(numbered.dictionary.to_pylist()))
+        return ids, np.diff(np.concatenate([[0], ends])[cut.offsets.to_numpy()])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = [not _tangled(text) and not any(token in text for token in self.added) for text in texts]

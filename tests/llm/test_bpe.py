@@ -51,6 +51,7 @@ def test_both_trees_merge_alike():
 
 def test_a_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(pretoken, "REMEMBERED", 5)
+    monkeypatch.setattr(pretoken, "FRESH", 2)
     monkeypatch.setattr(pretoken, "AT_ONCE", 10)
     vocabulary = bpe.Vocabulary(PATH)
     texts = ["one two three. four five six, seven", "two eight nine ten eleven", "one two"] * 3
