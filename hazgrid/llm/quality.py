@@ -6,8 +6,8 @@ The mean weight over a document's words is its value s. Ordered thresholds, whic
 weights, cut the line of values into grades: P(grade >= k) = 1 / (1 + exp(t_k - s)). The
 expected grade is the sum of these tails; selection is by one tail.
 
-Weights are fitted on a bounded sample of graded documents, in one task that holds their word
-counts; scoring reads whole texts, one row at a time.
+Weights are fitted on a bounded sample of graded documents, whose features are counted where
+they are read and gathered, eight bytes each, in one task; scoring reads whole texts, one row at a time.
 """
 
 from __future__ import annotations
@@ -85,15 +85,24 @@ class Weigher(dict):
 
 
 def fit_counts(rows: list[dict[int, float]], grades: np.ndarray, steps: int = STEPS) -> Model:
-    """Maximum penalised likelihood by Adam; grades are 0, 1, ... and every grade has the same weight."""
+    """``fit_shares`` for the ``counts`` of texts."""
+    at = np.array([i for row in rows for i in row], "i4")
+    share = np.array([x for row in rows for x in row.values()], "f4")
+    return fit_shares(np.array([len(row) for row in rows]), at, share, grades, steps)
+
+
+def fit_shares(sizes: np.ndarray, at: np.ndarray, share: np.ndarray, grades: np.ndarray, steps: int = STEPS) -> Model:
+    """Maximum penalised likelihood by Adam; grades are 0, 1, ... and every grade has the same weight.
+
+    ``at`` and ``share`` are the features of all rows, one row after the other, ``sizes`` how many each has.
+    """
     top = int(grades.max(initial=0))
     if top < 1:
         return Model(np.zeros(PLACES), (0.0,))
-    of = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-    at = np.array([i for row in rows for i in row])
-    share = np.array([x for row in rows for x in row.values()])
-    sizes = np.bincount(grades, minlength=top + 1)
-    each = (len(rows) / ((sizes > 0).sum() * np.maximum(sizes, 1)))[grades] / len(rows)
+    rows = len(sizes)
+    of = np.repeat(np.arange(rows, dtype="i4"), sizes)
+    have = np.bincount(grades, minlength=top + 1)
+    each = (rows / ((have > 0).sum() * np.maximum(have, 1)))[grades] / rows
     weights, steps_in = np.zeros(PLACES), np.array([0.0, *np.full(top - 1, 0.5)])
     parts = [weights, steps_in]
     means, squares = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
@@ -102,7 +111,7 @@ def fit_counts(rows: list[dict[int, float]], grades: np.ndarray, steps: int = ST
         # thresholds stay in order: a first one and positive gaps
         gaps = np.exp(steps_in[1:])
         cuts = np.concatenate([[-np.inf], steps_in[0] + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
-        value = np.bincount(of, share * weights[at], len(rows))
+        value = np.bincount(of, share * weights[at], rows)
         below, above = logistic(cuts[grades] - value), logistic(cuts[grades + 1] - value)
         likely = np.maximum(above - below, 1e-12)
         by_below, by_above = -below * (1 - below) / likely, above * (1 - above) / likely
@@ -134,15 +143,32 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str = GRADE, sample: int = SA
         "doc_id", "text", "grade", F.lit("all").alias("one")
     )
 
+    def features(frames):
+        for frame in frames:
+            found = [counts(text) for text in frame["text"]]
+            yield pd.DataFrame(
+                {
+                    "doc_id": frame["doc_id"],
+                    "mark": [zlib.crc32(text.encode("utf-8", "surrogatepass")) for text in frame["text"]],
+                    "grade": frame["grade"],
+                    "at": [np.fromiter(row, "i4", len(row)) for row in found],
+                    "share": [np.fromiter(row.values(), "f4", len(row)) for row in found],
+                    "one": frame["one"],
+                }
+            )
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "text"])
-        model = fit_counts([counts(t) for t in frame["text"]], frame["grade"].to_numpy("i8"))
+        frame = frame.sort_values(["doc_id", "mark"])
+        sizes = frame["at"].map(len).to_numpy()
+        at, share = (np.concatenate(frame[c].tolist()) for c in ("at", "share"))
+        model = fit_shares(sizes, at, share, frame["grade"].to_numpy("i8"))
         used = np.flatnonzero(model.weights)
         at = np.concatenate([used, -1 - np.arange(len(model.thresholds))])
         return pd.DataFrame({"at": at, "value": np.concatenate([model.weights[used], model.thresholds])})
 
+    shares = chosen.mapInPandas(features, "doc_id long, mark long, grade int, at array<int>, share array<float>, one string")
     # one group of a bounded size; its result has PLACES rows at most
-    rows = chosen.groupBy("one").applyInPandas(run, "at long, value double").collect()
+    rows = shares.groupBy("one").applyInPandas(run, "at long, value double").collect()
     if not rows:
         return Model(np.zeros(PLACES), (0.0,))
     weights = np.zeros(PLACES)
