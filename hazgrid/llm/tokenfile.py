@@ -22,12 +22,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import slices, whole_text
 from .pretoken import Memory
 
 END_ID = 2
 #: Documents in a shard (more where there would be over ``MOST_SHARDS``), bytes in a row group and in a page.
 SHARD_ROWS, MOST_SHARDS, GROUP_BYTES, PAGE_BYTES = 8_192, 20_000, 8 << 20, 128 << 10
+#: Units that the library encodes in one call.
+AT_A_TIME = 4_096
 WRITER = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -48,8 +50,9 @@ def library(path: str) -> Memory:
     tokenizer.no_padding()
 
     def encode_units(units):
-        found = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [array("I", encoding.ids).tobytes() for encoding in found]  # four bytes, least first, where Spark runs
+        for at in range(0, len(units), AT_A_TIME):  # the library's results are large objects
+            for encoding in tokenizer.encode_batch_fast(units[at : at + AT_A_TIME], add_special_tokens=False):
+                yield array("I", encoding.ids).tobytes()  # four bytes, least first, where Spark runs
 
     added = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
     return Memory(encode_units, added)
@@ -61,7 +64,7 @@ def tokenized(rows: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     schema = rows.select(*rest, F.array(F.lit(0)).alias("tokens")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             ids, sizes = library(path).encode(texts)
             closed = np.insert(ids, np.cumsum(sizes), end_id).view("<i4")
