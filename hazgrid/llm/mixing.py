@@ -31,8 +31,8 @@ def topic(text: str = "text") -> Column:
     """A coarse topic by marks in the text: licence terms, contact data, or general."""
     low = F.coalesce(F.col(text), F.lit(""))
     return (
-        F.when(low.rlike(r"(?i)licen[cs]e|copyright|all rights reserved|warranty"), "legal")
-        .when(low.rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]|\+\d[\d ()-]{7}|\(\d{3}\) ?\d{3}"), "contact")
+        F.when(low.rlike(r"[Ll](?i:icen[cs]e)|[Cc](?i:opyright)|[Rr](?i:ights reserved)|[Ww](?i:arranty)"), "legal")
+        .when(low.rlike(r"@[A-Za-z0-9-]+\.[A-Za-z]|\+\d[\d ()-]{7}|\(\d{3}\) ?\d{3}"), "contact")
         .otherwise("general")
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import bitslice, bpe, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
-from .common import in_fold, table
+from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,7 +60,8 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     named = docs.withColumn("topic", mixing.topic()).withColumn("tokens", mixing.tokens()).drop("text")
-    return mixing.chances(named, size="tokens").select(
+    # read twice, so texts are looked through once
+    return mixing.chances(stored(named, "mix-documents"), size="tokens").select(
         "doc_id",
         "source",
         "lang",
