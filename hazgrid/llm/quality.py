@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, labelled_sample, whole_text
+from .common import in_fold, labelled_sample, slices, whole_text
 
 #: Weights, graded documents per grade to fit on at most, steps of the fit and its penalty.
 PLACES, SAMPLE, STEPS, PENALTY = 1 << 15, 4_000, 150, 1e-3
@@ -189,7 +189,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         weigher = Weigher(model)
-        for batch in batches:
+        for batch in slices(batches):
             values = np.array([weigher.value(t) for t in batch.column("text").to_pylist()])
             tails = 1 / (1 + np.exp(np.clip(np.array(model.thresholds)[None, :] - values[:, None], -40, 40)))
             listed = pa.ListArray.from_arrays(

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored, whole_text
+from .common import components, slices, stored, whole_text
 
 SHINGLE = 3
 SEED = 42
@@ -78,7 +78,7 @@ def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", t
     out = packed.select("doc", F.lit(0).cast("bigint").alias("fp")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             values = pa.array(np.array(found, "u8").view("i8"), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), values], names=["doc", "fp"])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, labelled_sample, stored, whole_text
+from .common import in_fold, labelled_sample, slices, stored, whole_text
 
 #: Labelled documents of each label at most, the share of them that gives words (the rest gives weights).
 SAMPLE, WORD_FOLDS = 4_000, (1, 2, 3)
@@ -234,7 +234,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         classes, weights = Classes(model.words), np.array(model.weights)
-        for batch in batches:
+        for batch in slices(batches):
             found = [matches(t, classes) for t in batch.column("text").to_pylist()]
             sums = np.log1p(np.array(found, float).reshape(-1, len(KINDS))) @ weights[:-1] + weights[-1]
             scores = 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
