@@ -1,8 +1,8 @@
 """Secrets in texts: three fixed patterns, and character Markov models for what they miss.
 
 Two first-order Markov models over the characters of a token are trained: one on strings known
-to be random (what the patterns found, over all documents), one on ordinary words and
-identifiers (of a bounded sample of documents). A long token that no pattern covers is
+to be random (what the patterns found), one on ordinary words and identifiers, both over all
+documents. A long token that no pattern covers is
 reported when its log-likelihood ratio, summed over its characters, reaches ``MARGIN``.
 
 DataFrame and SQL functions only. Places come from the texts between the matches: ``split``
@@ -28,8 +28,8 @@ LEAST_VALUE = 6
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: A token to be judged, and an ordinary one to learn from.
 TOKEN, ORDINARY = r"[A-Za-z0-9+/_=-]{16,}", r"[A-Za-z_][A-Za-z0-9_]{3,}"
-#: Documents to learn ordinary tokens from at most; nats by which a token must look random rather than ordinary.
-SAMPLE, MARGIN = 2_000, 12.0
+#: Nats by which a token must look random rather than ordinary.
+MARGIN = 12.0
 
 SPAN = "struct<start:int,end:int,kind:int,value:string>"
 
@@ -71,12 +71,14 @@ def base(rows: DataFrame) -> DataFrame:
 
 
 def _transitions(tokens: DataFrame) -> dict[tuple[str, str], int]:
-    """How often a character follows another in the ``token`` column; the alphabet bounds the result."""
+    """How often a character follows another in the ``token`` column.
+
+    Tasks add up their own pairs first; the few characters that the patterns allow bound the result.
+    """
     letters = tokens.select(F.split("token", "").alias("c"))
     pairs = "transform(sequence(1, size(c) - 1), i -> concat(c[i - 1], c[i]))"
     each = letters.filter(F.size("c") > 1).select(F.explode(F.expr(pairs)).alias("pair"))
-    counted = each.filter(F.col("pair").rlike(f"^[{ALPHABET}]{{2}}$")).groupBy("pair").count()
-    return {(row["pair"][0], row["pair"][1]): row["count"] for row in counted.collect()}
+    return {tuple(row["pair"]): row["count"] for row in each.groupBy("pair").count().collect()}
 
 
 def _log_probabilities(counts: dict[tuple[str, str], int]) -> list[list[float]]:
@@ -89,21 +91,18 @@ def _log_probabilities(counts: dict[tuple[str, str], int]) -> list[list[float]]:
     return table
 
 
-def train(known: DataFrame, texts: DataFrame, sample: int = SAMPLE) -> list[list[float]]:
+def train(known: DataFrame, texts: DataFrame) -> list[list[float]]:
     """The table of log-likelihood ratios, random over ordinary, for each character and its next.
 
     Random strings are the values found by the patterns in all of ``known`` (known); ordinary
-    tokens are those of about ``sample`` rows of ``texts`` (text), without what the patterns
-    match. With nothing to learn from, a model is uniform; the random one is half uniform anyway.
+    tokens are those of all rows of ``texts`` (text), without what the patterns match; repeated
+    rows count in both. With nothing to learn from, a model is uniform; the random one is half uniform anyway.
     """
     random = _transitions(known.select(F.explode("known.value").alias("token")))
-    rows = texts.count()
-    place = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    some = texts.filter(place < min(1.0, sample / max(1, rows)))
     plain = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    words = some.select(F.explode(F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0))).alias("token"))
+    words = texts.select(F.explode(F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0))).alias("token"))
     a, b = _log_probabilities(random), _log_probabilities(_transitions(words))
     # random strings of other alphabets than those found are as likely again
     other = 1 / len(ALPHABET)
@@ -127,7 +126,7 @@ def likely_random(tokens: str, table: list[list[float]], margin: float = MARGIN)
     return F.expr(f"filter({tokens}, t -> {ratio} >= {margin})")
 
 
-def scan(docs: DataFrame, text: str = "text", margin: float = MARGIN, sample: int = SAMPLE) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", margin: float = MARGIN) -> DataFrame:
     """One row (doc_id, spans) for each row of ``docs``: an array of (start, end, kind) by start, then kind.
 
     ``kind`` is one of ``KINDS``, places are code points, the end exclusive. A missing text has
@@ -136,7 +135,7 @@ def scan(docs: DataFrame, text: str = "text", margin: float = MARGIN, sample: in
     """
     rows = docs.select("doc_id", whole_text(text).alias("text"))
     found = stored(base(rows).drop("text"), "secret-spans")
-    table = train(found, rows.select("text"), sample)
+    table = train(found, rows.select("text"))
     every = F.concat("known", likely_random("tokens", table, margin))
     ordered = F.array_sort(F.transform(every, lambda s: F.struct(s.start, s.end, s.kind)), _by_start_then_kind)
     names = F.array(*map(F.lit, KINDS))

@@ -1,7 +1,9 @@
 """Spans against Python's own regular expressions, and what the Markov models add."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 from hazgrid.llm import queries, secrets
 
@@ -64,6 +66,26 @@ def test_markov_models_tell_random_strings_from_words(spark):
     assert found[5001] == found[5002] == found[3] == []
 
 
+def test_models_count_all_rows(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"plain_words here, password={i:06d} and {i}" for i in range(6000)]
+    texts += [f"rare {a}{b}{a}{b}{a}{b}" for a in letters for b in letters]
+    table = secrets.train(
+        secrets.base(spark.createDataFrame([(t,) for t in texts], "text string")),
+        spark.createDataFrame([(t,) for t in texts], "text string"),
+    )
+    words, values = [], []
+    for text in texts:
+        values += [m[2] for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        words += re.findall(secrets.ORDINARY, ASSIGN.sub(" ", text))
+    pairs = [Counter(x for t in each for x in zip(t, t[1:])) for each in (values, words)]
+    for a, row in zip(secrets.ALPHABET, table):
+        random, plain = ([n[a, b] + 0.5 for b in secrets.ALPHABET] for n in pairs)
+        for at in range(len(secrets.ALPHABET)):
+            likely = (random[at] / sum(random) + 1 / len(secrets.ALPHABET)) / 2
+            assert abs(row[at] - math.log(likely / (plain[at] / sum(plain)))) < 1e-9
+
+
 def test_native_and_empty(spark, sf_dir):
     none = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("false")
     out = secrets.scan(none)
