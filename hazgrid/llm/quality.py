@@ -134,12 +134,12 @@ def fit_shares(sizes: np.ndarray, at: np.ndarray, share: np.ndarray, grades: np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: str = GRADE, sample: int = SAMPLE) -> Model:
-    """Fit on about ``sample`` documents of each grade at most, none of them of fold 0.
+    """Fit on about ``sample`` documents of each grade at most. Labels of fold 0 are not looked at.
 
     Without graded documents, or with one grade, the model knows nothing and every tail is a half.
     """
     texts = docs.select("doc_id", whole_text().alias("text")).filter(in_fold() != 0)
-    chosen = labelled_sample(texts, labels, grade, sample).select(
+    chosen = labelled_sample(texts, labels.filter(in_fold() != 0), grade, sample).select(
         "doc_id", "text", "grade", F.lit("all").alias("one")
     )
 

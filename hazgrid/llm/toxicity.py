@@ -195,12 +195,12 @@ def fit_weights(counts: np.ndarray, toxic: np.ndarray, share: float, steps: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn words and weights from about ``sample`` documents of each label at most, none of them of fold 0.
+    """Learn words and weights from about ``sample`` documents of each label at most. Labels of fold 0 are not looked at.
 
     Without labelled documents no word insults and every score is a half or less.
     """
     texts = docs.select("doc_id", whole_text().alias("text")).filter(in_fold() != 0)
-    once = labels.filter("toxic IS NOT NULL").select("doc_id", "toxic")
+    once = labels.filter("toxic IS NOT NULL").filter(in_fold() != 0).select("doc_id", "toxic")
     chosen = stored(
         labelled_sample(texts, once, "CAST(toxic AS INT)", sample).select("text", "grade", in_fold().alias("fold")),
         "toxicity-sample",

@@ -1,5 +1,7 @@
 """Held-out accuracy of the two classifiers, and what they make of odd rows."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -72,3 +74,16 @@ def test_labels_repeated_or_missing(spark):
     model = quality.fit(docs, labels)
     kept = {r.doc_id for r in quality.selected(docs, model).collect()}
     assert kept == set(range(1, 60, 2))
+
+
+def test_held_out_labels_change_no_model(spark):
+    texts = ["you are an idiot", "a calm day", "$$ %%% ###", "good text here"]
+    docs = spark.createDataFrame([(i, f"{texts[i % 4]} {i}") for i in range(400)], "doc_id int, text string")
+    models = []
+    for held in (None, (0, 1), (1, 0)):
+        rows = [(i, int(i % 4 != 2), int(i % 4 == 0)) for i in range(400)]
+        rows = [(i, *held) if held and zlib.crc32(str(i).encode()) % 5 == 0 else (i, q, t) for i, q, t in rows]
+        labels = spark.createDataFrame(rows, "doc_id int, quality int, toxic int")
+        plain = quality.fit(docs, labels, sample=40)
+        models.append((toxicity.fit(docs, labels, sample=60), plain.weights.tolist(), plain.thresholds))
+    assert models[0] == models[1] == models[2]
