@@ -84,8 +84,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, by: str, bound: int) ->
 
     A document is taken by a hash of its id, so the sample is the same in every run. Of labels
     repeated for one document the largest holds; documents and labels without id, and values
-    that are null, take no part. The result has the document's columns and ``grade``, the value.
-    Only sampled labels are broadcast, and their number is bounded.
+    that are null, take no part. Of rows repeated for one document the smallest is taken. The result
+    has the document's columns and ``grade``, the value. Only sampled labels are broadcast, and their number is bounded.
     """
     names = [c for c in labels.columns if c != "doc_id"]
     once = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in names])
@@ -95,4 +95,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, by: str, bound: int) ->
     for grade, count in counts.items():
         share = F.when(F.col("grade") == grade, min(1.0, bound / count)).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    return docs.join(F.broadcast(graded.filter(place < share)), "doc_id")
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]).alias("rest")
+    rows = docs.join(F.broadcast(graded.filter(place < share)), "doc_id").select("doc_id", rest, "grade")
+    return rows.groupBy("doc_id", "grade").agg(F.min("rest").alias("rest")).select("doc_id", "rest.*", "grade")

@@ -30,7 +30,7 @@ PLACES, SAMPLE, STEPS, PENALTY = 1 << 15, 4_000, 150, 1e-3
 #: Words whose weight a worker remembers; then it starts anew.
 REMEMBERED = 200_000
 #: Grades of the labels table: poor, sound but toxic, sound.
-GRADE = "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END"
+GRADE = "CASE WHEN quality IS NULL THEN NULL WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END"
 #: The place of repeats and how many words one counts for: they are one weight, words are many.
 REPEAT, REPEATED = 0, 4
 

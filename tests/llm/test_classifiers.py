@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from hazgrid.llm import quality, queries, toxicity
+from hazgrid.llm import common, quality, queries, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +87,16 @@ def test_held_out_labels_change_no_model(spark):
         plain = quality.fit(docs, labels, sample=40)
         models.append((toxicity.fit(docs, labels, sample=60), plain.weights.tolist(), plain.thresholds))
     assert models[0] == models[1] == models[2]
+
+
+def test_sample_has_one_row_for_each_document(spark):
+    rows = [(i, f"text {i}") for i in range(50)] + [(7, f"copy {i:03d}") for i in range(500)] + [(8, None), (9, "text 9")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    labels = spark.createDataFrame(
+        [(i, None if i == 3 else i % 2, int(i % 4 == 1)) for i in range(50)], "doc_id int, quality int, toxic int"
+    )
+    out = common.labelled_sample(docs.select("doc_id", common.whole_text().alias("text")), labels, quality.GRADE, 1000)
+    found = {r.doc_id: (r.text, r.grade) for r in out.collect()}
+    assert out.columns == ["doc_id", "text", "grade"] and out.count() == len(found) == 49
+    assert 3 not in found
+    assert found[7] == ("copy 000", 2) and found[8] == ("", 0) and found[9] == ("text 9", 1)
