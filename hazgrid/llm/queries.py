@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitslice, bpe, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
+from . import audit, bitslice, bpe, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids_crc32")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: tuple[Query, ...] = (
     op1_simhash_near_dedup,
     op2_toxicity,
@@ -112,6 +116,7 @@ QUERIES: tuple[Query, ...] = (
     op8_quality_classifier,
     op9_line_dedup,
     op10_token_files,
+    op12_filter_audit,
 )
 
 OP9_SQL = """
@@ -151,10 +156,58 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM t),
+first AS (SELECT text, min(doc_id) AS first FROM t GROUP BY text),
+said AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    concat(
+      CASE WHEN len(words) < 100 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 10 * length(w.text) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(w.text, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN first < w.doc_id THEN 'E' ELSE '' END
+    ) AS fails
+  FROM w JOIN first ON w.text = first.text LEFT JOIN said ON w.doc_id = said.doc_id
+),
+c AS (SELECT part, fails, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+s AS (SELECT filter_order, step, filter_order[step] AS own, left(filter_order, step - 1) AS earlier
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT c.*, s.*, contains(fails, own) AS failing,
+    len(list_filter(string_split(earlier, ''), lambda e: e <> '' AND contains(fails, e))) > 0 AS gone
+  FROM c, s
+),
+g AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failing AND NOT gone THEN n * good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failing AND NOT gone THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_top_k_search": OP3_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op3_top_k_search": OP3_SQL, "op9_line_dedup": OP9_SQL, "op12_filter_audit": OP12_SQL}
