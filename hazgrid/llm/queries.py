@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import audit, bitslice, bpe, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
+from . import audit, bitslice, bpe, conversations, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damaged(rows))
+
+
 QUERIES: tuple[Query, ...] = (
     op1_simhash_near_dedup,
     op2_toxicity,
@@ -117,6 +122,7 @@ QUERIES: tuple[Query, ...] = (
     op9_line_dedup,
     op10_token_files,
     op12_filter_audit,
+    op13_conversation_repair,
 )
 
 OP9_SQL = """
