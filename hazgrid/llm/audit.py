@@ -112,14 +112,15 @@ def masks(docs: DataFrame, sketch_cells: int | None = None) -> DataFrame:
     """
     flags = stored(text_mask(docs), "audit-flags")
     cells = sketch_cells or cells_for(flags.count())
-    crowded = stored(crowded_cells(flags, cells), "audit-crowded")
+    few = max(1, cells // (32 * BITMAP))  # tasks and files by the size of the bitmap
+    crowded = stored(crowded_cells(flags, cells).coalesce(few), "audit-crowded")
     texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", "text", *_hashes())
     names = [f"h{i}" for i in range(HASHES)]
     groups = possible_repeats(texts, crowded, cells).groupBy("text").agg(
         F.min("doc_id").alias("doc_id"), *[F.min(h).alias(h) for h in names]
     )
     # grouped by whole texts; hashes only tell rows apart that share an id
-    first = stored(groups.drop("text").filter("doc_id IS NOT NULL").distinct().withColumn("first", F.lit(True)), "audit-first")
+    first = groups.drop("text").filter("doc_id IS NOT NULL")
     repeats = possible_repeats(flags, crowded, cells).select("doc_id", *names).distinct()
     copies = repeats.filter("doc_id IS NOT NULL").join(first, ["doc_id", *names], "left_anti").withColumn("copy", F.lit(True))
     joined = flags.join(copies, ["doc_id", *names], "left")
