@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import audit, bitslice, bpe, conversations, gridjoin, linededup, mixing, quality, secrets, simhash, tokenfile, toxicity
+from . import audit, bitslice, bpe, conversations, gridjoin, linededup, mixing, quality, rules, secrets, simhash, tokenfile, toxicity
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids_crc32")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.judged(docs, rules.fit(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", *rules.COUNTS, "base_failed", "kept", "score"
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -121,6 +128,7 @@ QUERIES: tuple[Query, ...] = (
     op8_quality_classifier,
     op9_line_dedup,
     op10_token_files,
+    op11_quality_rules,
     op12_filter_audit,
     op13_conversation_repair,
 )
