@@ -29,7 +29,7 @@ def pieces(text: str) -> list[str]:
 
 #: Units whose ids a worker remembers, units that are put in at a time, and characters encoded at a time.
 #: When the memory is full the longer half is forgotten: this bounds a worker's memory and changes no result.
-REMEMBERED, FRESH, AT_ONCE = 400_000, 50_000, 1_000_000
+REMEMBERED, FRESH, AT_ONCE = 1_000_000, 50_000, 1_000_000
 
 #: Blanks besides space and line end, and a dot or comma without a letter, digit or line end before it.
 _odd_blank = re.compile("[\\0\\t\x0b-\\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search

@@ -2,8 +2,8 @@
 
 Documents are laid out by ascending doc_id in shards, each a contiguous range of ids and one
 sorted file or more: bounds are quantiles of doc_id, so a shard holds a like number of
-documents at any size. A row is a document: ``tokens`` (list of ids, end id included),
-``n_tokens`` and ``start``, the ids of all documents before it. The second format version of
+documents, and a task writes one shard. A row is a document: ``tokens`` (list of ids, end id
+included) and ``n_tokens``; ``starts`` adds the ids of all documents before it. The second format version of
 Parquet gives dictionary pages where values repeat and delta packing where they do not;
 row groups and pages are small, and the page indexes that the writer adds let a reader that
 asks for a range of ids or of one column skip all other pages.
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -26,10 +25,11 @@ from .common import slices, whole_text
 from .pretoken import Memory
 
 END_ID = 2
-#: Documents in a shard (more where there would be over ``MOST_SHARDS``), bytes in a row group and in a page.
-SHARD_ROWS, MOST_SHARDS, GROUP_BYTES, PAGE_BYTES = 8_192, 20_000, 8 << 20, 128 << 10
-#: Units that the library encodes in one call.
-AT_A_TIME = 4_096
+#: Documents in a shard at least (in larger tables shards and their documents both grow, see ``shards_for``),
+#: bytes in a row group and in a page.
+SHARD_ROWS, GROUP_BYTES, PAGE_BYTES = 8_192, 8 << 20, 128 << 10
+#: Units in a text that the library encodes, and texts in one call.
+IN_A_TEXT, AT_A_TIME = 512, 16
 WRITER = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -49,15 +49,44 @@ def library(path: str) -> Memory:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    def ids_of(texts: list[str]):
+        for at in range(0, len(texts), AT_A_TIME):  # the library's results are large objects
+            for encoding in tokenizer.encode_batch_fast(texts[at : at + AT_A_TIME], add_special_tokens=False):
+                yield np.array(encoding.ids, "<u4")
+
+    line_end = int(next(ids_of(["\n"]))[0])
+
     def encode_units(units):
-        for at in range(0, len(units), AT_A_TIME):  # the library's results are large objects
-            for encoding in tokenizer.encode_batch_fast(units[at : at + AT_A_TIME], add_special_tokens=False):
-                yield array("I", encoding.ids).tobytes()  # four bytes, least first, where Spark runs
+        """Units that begin and end with a mark or letter, but for one blank in front, go line by line in one text.
+
+        No piece of a text reaches over a line end that is followed by such a unit, so the ids
+        between line ends are those of the unit alone. Other units are texts of their own.
+        """
+        alone = [_is_tangled(unit) for unit in units]
+        lines = [unit for unit, is_alone in zip(units, alone) if not is_alone]
+        joined = ("\n".join([*lines[at : at + IN_A_TEXT], ""]) for at in range(0, len(lines), IN_A_TEXT))
+        found = []
+        for ids in ids_of(list(joined)):
+            ends = np.flatnonzero(ids == line_end)
+            packed = ids.tobytes()
+            found += [packed[4 * a + 4 : 4 * b] for a, b in zip([-1, *ends.tolist()], ends.tolist())]
+        of_lines, of_others = iter(found), ids_of([unit for unit, is_alone in zip(units, alone) if is_alone])
+        return [next(of_others).tobytes() if is_alone else next(of_lines) for is_alone in alone]
 
     added = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
     return Memory(encode_units, added)
 
 
+def _is_tangled(unit: str) -> bool:
+    body = unit[1:] if unit[:1] == " " else unit
+    return not body or "\n" in body or body[0].isspace() or body[-1].isspace()
+
+
+def shards_for(documents: int, shard_rows: int = SHARD_ROWS) -> int:
+    """As many as make ``shard_rows`` documents each, in larger tables as many as twice the root of the documents make."""
+    return -(-documents // max(shard_rows, 2 * math.isqrt(documents))) or 1
+
+
 def tokenized(rows: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """``rows`` (doc_id, text, ...) with ``tokens`` instead of the text: its ids and the end id."""
     rest = [c for c in rows.columns if c != "text"]
@@ -83,15 +112,15 @@ def write(docs: DataFrame, out: str, path: str, end_id: int = END_ID, shard_rows
     of the format.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    n = rows.count()
-    shards = min(-(-n // shard_rows), MOST_SHARDS) or 1
+    shards = shards_for(rows.count(), shard_rows)
     shares = [i / shards for i in range(1, shards)]
-    # each bound right to a hundredth of a shard; this reads doc_id alone
-    cuts = rows.agg(F.percentile_approx("doc_id", shares, max(1_000, 100 * shards))).first()[0] if shares else []
+    # each bound right to a twentieth of a shard; this reads doc_id alone
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, max(1_000, 20 * shards))).first()[0] if shares else []
     bounds = [-math.inf, *sorted({float(cut) for cut in cuts or [0]}), math.inf]
     keyed = rows.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)))
     dealt = Bucketizer(splits=bounds, inputCol="at", outputCol="bucket").transform(keyed)
-    dealt = dealt.select(F.col("bucket").cast("int").alias("shard"), "doc_id", "text").repartition(shards, "shard")
+    # the shard is the partition, so no two shards meet in a task
+    dealt = dealt.select(F.col("bucket").cast("int").alias("shard"), "doc_id", "text").repartitionById(len(bounds) - 1, F.col("shard"))
     ids = tokenized(dealt, path, end_id).select("shard", "doc_id", F.size("tokens").alias("n_tokens"), "tokens")
     ordered = ids.sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "tokens")
     ordered.write.options(**WRITER).partitionBy("shard").parquet(out)
