@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, whole_text
+from .common import whole_text, with_text_result
 from .pretoken import Memory, pieces
 
 #: Up to this many bytes, the trees of many pieces are kept and changed side by side in arrays.
@@ -223,18 +223,6 @@ def token_bytes(path: str) -> list[bytes]:
         return _bytes(json.load(file))
 
 
-def _mapped(docs: DataFrame, source, to: str, sql_kind: str, function) -> DataFrame:
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), source.alias("from"))
-    out = packed.select("doc", F.lit(None).cast(sql_kind).alias("to")).schema
-
-    def run(batches):
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), function(batch.column("from"))], names=["doc", "to"])
-
-    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != to.lower()]
-    return packed.mapInArrow(run, out).select(*kept, F.col("to").alias(to))
-
-
 def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:
     """All rows and columns of ``docs`` with the packed ids of the whole text in column ``to``.
 
@@ -247,7 +235,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids") ->
         ends = np.concatenate([[0], np.cumsum(4 * sizes)]).astype("i4")
         return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
 
-    return _mapped(docs, whole_text(text), to, "binary", encode)
+    return with_text_result(docs, to, whole_text(text), "binary", lambda: encode)
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -256,7 +244,7 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -
     def decode(packed: pa.Array) -> pa.Array:
         return pa.array([text_of(p, token_bytes(path)) for p in packed.to_pylist()], pa.string())
 
-    return _mapped(rows, F.coalesce(F.col(ids), F.lit(b"")), to, "string", decode)
+    return with_text_result(rows, to, F.coalesce(F.col(ids), F.lit(b"")), "string", lambda: decode)
 
 
 def n_tokens(ids: str = "ids"):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of an Arrow batch at most: texts differ in length by orders of magnitude.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def with_text_result(
+    docs: DataFrame, to: str, source: Column, kind: str, begin: Callable[[], Callable[[pa.Array], pa.Array]]
+) -> DataFrame:
+    """All columns of ``docs`` with ``to``, what a function makes of ``source``; a column of that name is replaced.
+
+    Only ``source`` goes to the Python workers and only the result comes back: rows stay where
+    they are. ``begin`` makes the function, once in each task; it gets a few rows at a time.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        docs.sparkSession.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        function = begin()
+        for batch in batches:
+            parts = [function(batch.slice(at, 256)) for at in range(0, len(batch), 256)]
+            yield pa.concat_arrays(parts) if len(parts) != 1 else parts[0]
+
+    # not to be evaluated once more by a filter on the result
+    made = F.arrow_udf(run, kind).asNondeterministic()
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != to.lower()]
+    return docs.select(*kept, made(source).alias(to))
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in slices, so that a worker holds the results of a few rows at a time."""
     for batch in batches:

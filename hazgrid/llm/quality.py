@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, labelled_sample, slices, whole_text
+from .common import in_fold, labelled_sample, whole_text, with_text_result
 
 #: Weights, graded documents per grade to fit on at most, steps of the fit and its penalty.
 PLACES, SAMPLE, STEPS, PENALTY = 1 << 15, 4_000, 150, 1e-3
@@ -183,26 +183,26 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     Missing and empty texts have the value 0. Columns of these names are replaced.
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), whole_text(text).alias("text"))
-    out = packed.select("doc", F.array(F.lit(0.0)).alias("tails")).schema
-    width = len(model.thresholds)
-
-    def run(batches):
-        weigher = Weigher(model)
-        for batch in slices(batches):
-            values = np.array([weigher.value(t) for t in batch.column("text").to_pylist()])
-            tails = 1 / (1 + np.exp(np.clip(np.array(model.thresholds)[None, :] - values[:, None], -40, 40)))
-            listed = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(values) + 1) * width, pa.int32()), pa.array(tails.ravel())
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), listed], names=["doc", "tails"])
-
-    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in ("expected_grade", "tails")]
+    tailed = with_text_result(docs, "tails", whole_text(text), "array<double>", lambda: _tails(model))
+    kept = [F.col(f"`{c}`") for c in tailed.columns if c.lower() not in ("expected_grade", "tails")]
     total = F.aggregate("tails", F.lit(0.0), lambda a, b: a + b)
-    return packed.mapInArrow(run, out).select(*kept, total.alias("expected_grade"), "tails")
+    return tailed.select(*kept, total.alias("expected_grade"), "tails")
+
+
+def _tails(model: Model):
+    weigher, width = Weigher(model), len(model.thresholds)
+
+    def run(texts: pa.Array) -> pa.Array:
+        values = np.array([weigher.value(t) for t in texts.to_pylist()])
+        tails = 1 / (1 + np.exp(np.clip(np.array(model.thresholds)[None, :] - values[:, None], -40, 40)))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), pa.array(tails.ravel()))
+
+    return run
 
 
 def selected(docs: DataFrame, model: Model, at_least: int = 1, tail: float = 0.5) -> DataFrame:
     """The rows of ``docs`` of which P(grade >= at_least) is ``tail`` or more; columns as they are."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return scored(rows, model).filter(F.element_at("tails", at_least) >= tail).select("row.*")
+    columns = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])  # no column has the name of a result
+    chosen = scored(numbered, model, f"c{columns.index('text')}").filter(F.element_at("tails", at_least) >= tail)
+    return chosen.drop("expected_grade", "tails").toDF(*columns)

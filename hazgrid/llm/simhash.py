@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, slices, stored, whole_text
+from .common import components, stored, whole_text, with_text_result
 
 SHINGLE = 3
 SEED = 42
@@ -74,17 +74,12 @@ def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", t
     A missing text counts as empty and has fingerprint 0. A column of that name in ``docs``
     is replaced.
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), whole_text(text).alias("text"))
-    out = packed.select("doc", F.lit(0).cast("bigint").alias("fp")).schema
 
-    def run(batches):
-        for batch in slices(batches):
-            found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
-            values = pa.array(np.array(found, "u8").view("i8"), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), values], names=["doc", "fp"])
+    def run(texts: pa.Array) -> pa.Array:
+        found = [fingerprint(t, shingle) for t in texts.to_pylist()]
+        return pa.array(np.array(found, "u8").view("i8"), pa.int64())
 
-    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != to.lower()]
-    return packed.mapInArrow(run, out).select(*kept, F.col("fp").alias(to))
+    return with_text_result(docs, to, whole_text(text), "bigint", lambda: run)
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -197,12 +192,11 @@ def first_of_each_group(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
-        F.col("text"),
         F.struct(
             F.col("doc_id").isNull().alias("missing"),
             F.col("doc_id").alias("id"),
             F.monotonically_increasing_id().alias("nth"),
         ).alias("row"),
     )
-    prints = stored(fingerprinted(packed).drop("text"), "simhash-documents")
+    prints = stored(fingerprinted(packed, text="doc.text"), "simhash-documents")
     return grouped(prints, "row").filter("row = first").select("doc.*")
