@@ -22,13 +22,16 @@ def split_by_order(
     """Mark the first ``share`` of each stratum, in the given order, as training rows.
 
     Positions are running counts over blocks, so a stratum is never gathered into one
-    task; stratum sizes come from one small grouping.
+    task; stratum sizes come from one small grouping. Without ``strata`` all rows are one.
     """
     counted = running_totals(rows.withColumn("_one", F.lit(1)), block, order, {"_one": "_place"}, within=strata)
-    sizes = rows.groupBy(*strata).agg(F.count("*").alias("_size"))
-    joined = counted.join(F.broadcast(sizes), list(strata))  # one row per class
+    if strata:
+        sizes = rows.groupBy(*strata).agg(F.count("*").alias("_size"))
+        counted = counted.join(F.broadcast(sizes), list(strata))  # one row per class
+    else:
+        counted = counted.withColumn("_size", F.lit(rows.count()))
     quota = F.floor(F.col("_size") * F.lit(share) + F.lit(0.5))
-    return joined.withColumn("is_train", F.col("_place") < quota).select(*rows.columns, "is_train")
+    return counted.withColumn("is_train", F.col("_place") < quota).select(*rows.columns, "is_train")
 
 
 def stratified_split(
@@ -45,6 +48,6 @@ def stratified_split(
     positives = rows.agg(F.count_if(F.col(label) == 1)).first()[0]
     text = F.concat_ws(",", *(F.col(k).cast("string") for k in keys), F.lit(str(seed)))
     mixed = rows.withColumn("_hash", F.md5(text)).withColumn("_block", F.substring("_hash", 1, _BLOCK_DIGITS))
-    mixed = mixed.withColumn("_stratum", F.col(label) if positives > MIN_POSITIVES else F.lit(0))
-    marked = split_by_order(mixed, "_block", [F.col("_hash"), *(F.col(k) for k in keys)], ["_stratum"], share)
+    strata = [label] if positives > MIN_POSITIVES else []
+    marked = split_by_order(mixed, "_block", [F.col("_hash"), *(F.col(k) for k in keys)], strata, share)
     return marked.select(*rows.columns, "is_train")

@@ -178,6 +178,17 @@ def test_split_is_exact_stratified_and_repeatable(spark):
     assert split.stratified_split(few).filter("is_train").count() == 800
 
 
+@pytest.mark.parametrize("positives", [0, 3, 50])
+def test_split_plans_no_product(spark, positives):
+    rows = spark.range(200).select(
+        F.col("id").cast("double").alias("zone_lat"), F.lit(0.0).alias("zone_lon"), (F.col("id") < positives).cast("int").alias(LABEL)
+    )
+    marked = split.stratified_split(rows)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert marked.filter("is_train").count() == 160
+
+
 def test_class_weight_without_positives(spark):
     df = spark.createDataFrame([(0,), (0,)], f"{LABEL} int")
     assert features.class_weight(df).first()["scale_pos_weight"] == 1.0
