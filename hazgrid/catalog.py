@@ -20,7 +20,7 @@ from .functions.classify import risk_label
 from .functions.clock import moment, with_event_time
 from .functions.encode import envelope, tsv_line
 from .ml import explain, model
-from .operators import attribution, dedup, features, markers, metrics, normalize, profile, serving, split, zones
+from .operators import attribution, dedup, features, markers, metrics, normalize, profile, rollup, serving, split, zones
 from .operators.staging import stage_air, stage_fires, stage_quakes
 from .plans import layers
 from .schemas import FEATURES, KINDS, LABEL, NATURAL_KEY, STREAM_SCHEMA, ZONE
@@ -251,6 +251,14 @@ def int_active_zones(t):
     return _rounded(zones.active_zones(*_staged(t), t.as_of), *_ZONE_MEANS)
 
 
+@_query
+def int_active_zones_rolled(t):
+    """From stored partial sums of whole days and the rows of the two days at the edges."""
+    path = scratch_path(t.spark, "zone-days")
+    rollup.store_days(rollup.zone_days(*_staged(t)), path)
+    return _rounded(rollup.active_zones(rollup.read_days(t.spark, path), *_staged(t), t.as_of), *_ZONE_MEANS)
+
+
 @_query
 def int_active_zones_joined(t):
     return _rounded(zones.active_zones_joined(*_staged(t), t.as_of), *_ZONE_MEANS)
@@ -335,17 +343,9 @@ def marker_layer(t):
 
 
 def _pulled_to_end(t: BaseTables, kind: str, rows: DataFrame) -> DataFrame:
-    """All rows of the last two days in pulls, times cut to days so that far more rows share one than a pull takes."""
+    """The whole table in pulls, times cut to days so that far more rows share one than a pull takes."""
     daily = rows.withColumn("event_time", F.date_trunc("DAY", "event_time").cast("timestamp_ntz"))
-    midnight = t.as_of.replace(hour=0, minute=0, second=0, microsecond=0)
-    cursor, pulled = (midnight - timedelta(days=2), None), None
-    while True:
-        page = settled(serving.pull_since(daily, kind, cursor[0], last_key=cursor[1]), f"pull-{kind}")
-        pulled = page if pulled is None else pulled.unionAll(page)
-        after = serving.next_cursor(page, kind, *cursor)
-        if after == cursor:
-            return _real_integers(pulled)
-        cursor = after
+    return _real_integers(serving.pages(daily, kind))
 
 
 @_query
@@ -481,6 +481,42 @@ def _streamed(t: BaseTables, kind: str, order: Callable[[DataFrame], DataFrame])
     return landed if kind == "earthquakes" else landed.select(*NATURAL_KEY[kind])
 
 
+@_query
+def new_revised_quakes(t):
+    """Quakes that later polls bring again with their times revised by hours or weeks, among new ones: each id lands once."""
+    path = scratch_path(t.spark, "revised")
+    for poll, (days, known) in enumerate(((0, "sig % 3 = 0"), (25, "sig % 3 <= 1"), (-60, "true"))):
+        moved = F.col("event_time").cast("timestamp") + F.expr(f"INTERVAL {days} DAYS")
+        later = t.quakes.filter(known).withColumns({"event_time": moved, "time_ms": F.unix_millis(moved)})
+        tables.append_new(later, "earthquakes", path, poll)
+    landed = tables.read_table(t.spark, "earthquakes", path, batched=True)
+    return landed.select("id", "mag", "time_ms", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
+def _committed(t: BaseTables, kinds: dict[str, DataFrame]) -> DataFrame:
+    """What one feed hands on of tables that grow by batches, while days are compacted; a stopped feed goes on where it was."""
+    roots = {kind: scratch_path(t.spark, f"committed-{kind}") for kind in kinds}
+    out = scratch_path(t.spark, "handed-on")
+    publish = lambda rows, batch_id: rows.write.parquet(f"{out}/part={batch_id}")
+    for batch, share in enumerate((F.xxhash64("event_time") % 3 == 0, F.xxhash64("event_time") % 2 == 0, F.lit(True))):
+        for kind, rows in kinds.items():
+            stamped = rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
+            tables.append_new(stamped.filter(share), kind, roots[kind], batch)
+            if batch == 1:
+                tables.compact(t.spark, kind, roots[kind], t.as_of.date(), clean=False)
+        if batch:
+            jobs.commit_feed(t.spark, roots, publish, f"{out}-progress", {"availableNow": True}).awaitTermination()
+    return t.spark.read.option("mergeSchema", True).parquet(out).drop("part")
+
+
+@_query
+def committed_feed(t):
+    """One feed of all three kinds with one cursor: each observation once."""
+    handed = _committed(t, {"earthquakes": t.quakes, "wildfires": t.fires, "pollution": t.air})
+    keys = sorted({key for kind in KINDS for key in NATURAL_KEY[kind]})
+    return handed.select("_type", *keys)
+
+
 def _shuffled(rows: DataFrame) -> DataFrame:
     return rows.repartition(BATCHES, F.xxhash64(*rows.columns))
 

@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
+
+_IN_BLOCK = 33  # bits that monotonically_increasing_id leaves for the rows of a partition
 
 
 def running_totals(
@@ -34,3 +39,22 @@ def running_totals(
     return joined.select(
         *df.columns, *((F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(n) for n in sums.values())
     )
+
+
+def positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Add the place of each row in the order of the whole table, from 0, in a fixed number of jobs.
+
+    Rows are dealt to tasks by ranges of the order, however many share the first column, and
+    sorted there; the rows of the ranges before, a row for each range, are added.
+    """
+    path = scratch_path(df.sparkSession, "positions")
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])
+    placed = df.sparkSession.read.schema(schema).parquet(path)
+    placed = placed.withColumn("_block", F.shiftright("_at", _IN_BLOCK))
+    sizes = placed.groupBy("_block").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    at = F.col("_at").bitwiseAND(F.lit((1 << _IN_BLOCK) - 1)) + F.col("_before")
+    return placed.join(before, "_block").withColumn(name, at).select(*df.columns, name)

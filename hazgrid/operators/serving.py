@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import moment, seconds_text, since, utc_now
 from .dedup import first_per_key, first_per_key_salted
+from .ranking import positions
 
 # Result limits.
 QUAKE_ROWS, FIRE_ROWS, AIR_ROWS, ZONE_ROWS, SNAPSHOT_ROWS = 500, 1000, 500, 200, 200
@@ -127,6 +128,16 @@ def pull_since(
     return rows.orderBy(*order).limit(limit or PULL_ROWS[kind]).select(*columns, "event_time")
 
 
+def pages(events: DataFrame, kind: str, limit: int | None = None) -> DataFrame:
+    """The whole table in the pages that ``pull_since`` gives one after the other, numbered from 0.
+
+    Read at once by many tasks, so a table is pulled to its end in a fixed number of jobs.
+    """
+    columns = _COLUMNS[kind]
+    placed = positions(events.select(*columns, "event_time"), [F.asc("event_time"), *(F.asc(c) for c in columns)])
+    return placed.withColumn("page", F.expr(f"position DIV {limit or PULL_ROWS[kind]}")).drop("position")
+
+
 def _comparable(value: Column, kind: str) -> tuple[Column, Column]:
     """A value and whether it is there, so that comparing never yields NULL and missing values come first."""
     return value.isNotNull(), F.coalesce(value, F.lit("" if kind == "string" else 0).cast(kind))

@@ -53,7 +53,7 @@ def raw_risk_score(max_mag: Column, max_frp: Column, max_pm25: Column) -> Column
 _MEASURES = ("max_mag", "avg_mag", "max_frp", "avg_frp", "avg_pm25", "max_pm25", "avg_no2")
 
 
-def _finish(zones: DataFrame, last_activity: Column) -> DataFrame:
+def finish(zones: DataFrame, last_activity: Column) -> DataFrame:
     """Zeros for what a zone has none of, and the composite score."""
     zero = {m: F.coalesce(F.col(m), F.lit(0.0)) for m in _MEASURES}
     count = {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("eq_count", "fire_count")}
@@ -105,7 +105,7 @@ def active_zones(
         F.avg("no2").alias("avg_no2"),
         F.max("event_time").alias("last_activity"),
     )
-    return _finish(zones, F.col("last_activity"))
+    return finish(zones, F.col("last_activity"))
 
 
 def active_zones_joined(
@@ -123,4 +123,4 @@ def active_zones_joined(
     )
     never = F.lit(EPOCH).cast("timestamp_ntz")
     times = [F.coalesce(F.col(c), never) for c in ("last_eq_time", "last_fire_time", "last_pol_time")]
-    return _finish(zones, F.greatest(*times))
+    return finish(zones, F.greatest(*times))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import utc_now, with_event_time
 from ..operators import normalize
-from ..operators.dedup import distinct_events, new_events
 from ..session import settled, use_utc
-from ..sinks.tables import days_of, landed_on, write_batch
+from ..sinks.tables import append_new
 from ..sources import landing
 
 READERS = {"earthquakes": landing.quake_files, "wildfires": landing.fire_files, "pollution": landing.air_files}
@@ -33,10 +32,6 @@ def ingest(
     """
     rows = settled(judged(spark, kind, path, ingested_at), f"ingest-{kind}")
     good = rows.filter(F.col(normalize.REASON).isNull()).drop(normalize.REASON)
-    landed = landed_on(spark, kind, table, days_of(good), run)
-    fresh = settled(
-        distinct_events(good, kind) if landed is None else new_events(good, landed, kind), f"fresh-{kind}"
-    )
-    write_batch(fresh, kind, table, run)
+    fresh = append_new(good, kind, table, run)
     normalize.rejected(rows).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/{kind}/run={run}")
     return normalize.ingest_stats({kind: rows}).withColumn("landed", F.lit(fresh.count()).cast("bigint"))

@@ -1,18 +1,22 @@
-"""Typed base tables on a file system: date folders, sorted files, idempotent batches."""
+"""Typed base tables on a file system: date folders, sorted files, batches that land whole, and an index of their keys."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import distinct_events, latest_per_key
-from ..schemas import SORT_KEY, STREAM_SCHEMA, ZONE
+from ..operators.dedup import distinct_events, latest_per_key, new_events
+from ..schemas import NATURAL_KEY, SORT_KEY, STREAM_SCHEMA, ZONE
 from ..session import settled
+from . import log
 
-MOST_DAYS = 400
+_FOLDERS = ("event_date", "batch_id", "write")
+#: The key index: its folder, key folders of a level before they are merged, and keys that are asked for one by one.
+KEYS, MOST_KEY_WRITES, FEW = "_keys", 32, 5_000
 
 
 def _laid_out(events: DataFrame, kind: str, *folders: str) -> DataFrame:
@@ -33,60 +37,102 @@ def write_table(events: DataFrame, kind: str, path: str, mode: str = "append") -
     _laid_out(_dated(events), kind, "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
 
 
-def _place(spark: SparkSession, path: str):
-    """A path and the file system it is on, whichever that is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+def _write_id(cause: str) -> str:
+    return f"{cause}-{uuid.uuid4().hex}"
 
 
-def _started_before(spark: SparkSession, path: str, batch_id: int) -> bool:
-    """Whether this batch was begun before; notes that it is now. The mark is in a folder that readers skip."""
-    mark, files = _place(spark, f"{path.rstrip('/')}/_batches/{batch_id}")
-    return not files.createNewFile(mark)
+def _rows_written(events: DataFrame, kind: str, path: str, batch_id: int) -> list[log.Folder]:
+    """Write the rows of a batch, a folder for each date, and say which."""
+    if events.isEmpty():
+        return []  # and nothing would be observed
+    write, days = _write_id("batch"), Observation()
+    rows = _dated(events).observe(days, F.collect_set("event_date").alias("days"))
+    rows = rows.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "write": F.lit(write)})
+    _laid_out(rows, kind, *_FOLDERS).write.mode("append").partitionBy(*_FOLDERS).parquet(path)
+    return [
+        log.Folder(f"event_date={day}/batch_id={batch_id}/write={write}", batch_id, day=day)
+        for day in sorted(d.isoformat() for d in days.get["days"])
+    ]
 
 
-def _remove(spark: SparkSession, pattern: str) -> None:
-    place, files = _place(spark, pattern)
-    for found in files.globStatus(place) or []:
-        files.delete(found.getPath(), True)
+def write_batch(events: DataFrame, kind: str, path: str, batch_id: int, keys: bool = True) -> None:
+    """Land one micro-batch: its rows below their dates and their keys in the key index, in one commit.
 
+    A batch that has landed before is replaced whole, also where its rows now fall on other
+    dates. Once compaction has merged it, a batch is final and its repeat writes nothing.
+    """
+    spark = events.sparkSession
+    if log.newest(spark, path).settled >= batch_id:
+        return
+    added = _rows_written(events, kind, path, batch_id)
+    if keys and added:
+        landed = open_folders(spark, kind, path, added)
+        added.append(_keys_written(with_marks(landed, kind), path, batch_id, 0))
 
-def write_batch(events: DataFrame, kind: str, path: str, batch_id: int) -> None:
-    """One micro-batch, in a folder of its own below each date.
+    def change(now: log.Manifest) -> log.Manifest:
+        earlier = tuple(folder for folder in now.live if folder.batch == batch_id and folder.level == 0)
+        return replace(now, added=tuple(added), removed=earlier)
+
+    log.commit(spark, path, "batch", change)
+    merge_keys(spark, kind, path)
 
-    A batch that was begun before is removed from all dates first, so that a repeat replaces
-    it whole, also where its rows now fall on other dates. A new batch looks at one mark only.
-    """
-    folders, spark = ("event_date", "batch_id"), events.sparkSession
-    if _started_before(spark, path, batch_id):
-        _remove(spark, f"{path.rstrip('/')}/event_date=*/batch_id={batch_id}")
-    rows = _dated(events).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    _laid_out(rows, kind, *folders).write.mode("append").partitionBy(*folders).parquet(path)
 
+def append_new(events: DataFrame, kind: str, path: str, batch_id: int) -> DataFrame:
+    """Land the observations of a batch that no other batch has landed, ever; returns them, as landed."""
+    spark, held = events.sparkSession, events.filter("event_time IS NOT NULL")
+    known = landed_keys(held, kind, path, batch_id)
+    fresh = settled(
+        distinct_events(held, kind) if known is None else new_events(held, known, kind), f"fresh-{kind}"
+    )
+    write_batch(fresh, kind, path, batch_id)
+    return fresh
 
-def compact(spark: SparkSession, kind: str, path: str, day: date) -> None:
+
+def compact(spark: SparkSession, kind: str, path: str, day: date, clean: bool = True) -> None:
     """Put the batches of a closed day into one folder, sorted, each observation once.
 
-    For days whose batches will not be repeated. The merged rows replace the newest batch's
-    folder before the others go; what a stopped run leaves doubled, the next one merges.
+    The merged rows are written beside the others and take their place by one commit; only
+    then the others go, or with ``clean=False`` stay for feeds that lag behind until ``log.sweep``.
     """
-    folder = f"{path.rstrip('/')}/event_date={day.isoformat()}"
-    table = _reader(spark, kind, "timestamp", batched=True).option("basePath", path).parquet(folder)
-    batches = sorted(r["batch_id"] for r in table.select("batch_id").distinct().collect())
-    if len(batches) < 2:
-        return
-    rows = settled(distinct_events(table.drop("batch_id"), kind), f"compact-{kind}")
-    _remove(spark, f"{folder}/batch_id={batches[-1]}")
-    merged = rows.hint("rebalance").sortWithinPartitions(*SORT_KEY[kind]).drop("event_date")
-    merged.write.mode("overwrite").parquet(f"{folder}/batch_id={batches[-1]}")
-    for batch in batches[:-1]:
-        _remove(spark, f"{folder}/batch_id={batch}")
+    own = [folder for folder in log.newest(spark, path).live if folder.day == day.isoformat()]
+    if len(own) > 1:
+        newest = max(folder.batch for folder in own)
+        merged = log.Folder(
+            f"event_date={day.isoformat()}/batch_id={newest}/write={_write_id('merged')}", newest, 1, day.isoformat()
+        )
+        rows = distinct_events(open_folders(spark, kind, path, own).drop("batch_id", "event_date"), kind)
+        rows = rows.hint("rebalance").sortWithinPartitions(*SORT_KEY[kind])
+        rows.write.parquet(f"{path.rstrip('/')}/{merged.path}")
+
+        def change(now: log.Manifest) -> log.Manifest | None:
+            if not set(own) <= set(now.live):
+                return None  # a batch was repeated meanwhile: the next run merges
+            return replace(now, added=(merged,), removed=tuple(own), settled=max(now.settled, newest))
+
+        log.commit(spark, path, "compaction", change)
+    if clean:
+        log.sweep(spark, path, f"event_date={day.isoformat()}/batch_id=*/write=*")
+        log.sweep_empty(spark, f"{path.rstrip('/')}/event_date={day.isoformat()}/batch_id=*")
+
+
+def _columns(kind: str, time: str) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind]) + f", event_time {time}"
 
 
 def _reader(spark: SparkSession, kind: str, time: str, batched: bool) -> DataFrameReader:
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind])
     folders = "event_date date, batch_id bigint" if batched else "event_date date"
-    return spark.read.schema(f"{columns}, event_time {time}, {folders}")
+    return spark.read.schema(f"{_columns(kind, time)}, {folders}")
+
+
+def open_folders(
+    spark: SparkSession, kind: str, path: str, folders: list[log.Folder], time: str = "timestamp"
+) -> DataFrame:
+    """The rows of some folders of a batch-written table."""
+    reader = _reader(spark, kind, time, batched=True)
+    if not folders:
+        return spark.createDataFrame([], f"{_columns(kind, time)}, event_date date, batch_id bigint")
+    root = path.rstrip("/")
+    return reader.option("basePath", root).parquet(*(f"{root}/{folder.path}" for folder in folders)).drop("write")
 
 
 def read_table(
@@ -95,34 +141,76 @@ def read_table(
     """The table with its folder columns; the schema is declared, so no file is opened for it.
 
     ``event_date`` stays in the result so that horizons prune folders. ``batched``: the
-    table was written batch by batch.
+    table was written batch by batch, and is read as its log says.
     """
+    if batched:
+        return open_folders(spark, kind, path, [f for f in log.newest(spark, path).live if not f.is_keys], time)
     return _reader(spark, kind, time, batched).parquet(path)
 
 
-def landed_on(spark: SparkSession, kind: str, path: str, days: list[date], batch_id: int) -> DataFrame | None:
-    """Rows of other batches on the given days and their neighbours; None when there are none.
+# The key index: every landed key with its hash, sorted by it, with Parquet's Bloom filters. A
+# batch reads the row groups that may have its keys, however long ago these landed.
 
-    Only the folders of these days are listed, however long the table's history is; beyond
-    ``MOST_DAYS`` days the table is read as it is.
-    """
-    shifted = (day.toordinal() + shift for day in days for shift in (-1, 0, 1))
-    near = sorted({date.fromordinal(n).isoformat() for n in shifted if 1 <= n <= date.max.toordinal()})
+
+def with_marks(rows: DataFrame, kind: str) -> DataFrame:
+    """The natural key of rows with ``mark``, its hash; missing parts count as equal."""
+    return rows.select(*NATURAL_KEY[kind], F.xxhash64(*NATURAL_KEY[kind]).alias("mark"))
+
+
+def _keys_written(keys: DataFrame, path: str, batch_id: int, level: int) -> log.Folder:
+    folder = log.Folder(f"{KEYS}/write={_write_id('keys')}", batch_id, level)
+    # merged keys are dealt by ranges, so that files tell by their smallest and largest hash as well
+    dealt = keys.repartitionByRange("mark") if level else keys.hint("rebalance")
+    dealt.sortWithinPartitions("mark").write.option("parquet.bloom.filter.enabled#mark", "true").parquet(f"{path.rstrip('/')}/{folder.path}")
+    return folder
+
+
+def _open_keys(spark: SparkSession, kind: str, path: str, folders: list[log.Folder]) -> DataFrame:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STREAM_SCHEMA[kind] if f.name in NATURAL_KEY[kind])
     root = path.rstrip("/")
-    reader = _reader(spark, kind, "timestamp", batched=True).option("basePath", root)
-    try:
-        table = reader.parquet(f"{root}/event_date={{{','.join(near)}}}" if len(near) <= MOST_DAYS else root)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    reader = spark.read.schema(f"{columns}, mark bigint").option("basePath", f"{root}/{KEYS}")
+    return reader.parquet(*(f"{root}/{folder.path}" for folder in folders)).drop("write")
+
+
+def landed_keys(events: DataFrame, kind: str, path: str, batch_id: int) -> DataFrame | None:
+    """Keys of other batches among which those of ``events`` would be; None when nothing has landed.
+
+    Of up to ``FEW`` different keys only row groups are read whose Bloom filter has one of
+    them; more keys are in most row groups anyway. This changes nothing of what is found.
+    """
+    spark = events.sparkSession
+    held = [f for f in log.newest(spark, path).live if f.is_keys and not (f.batch == batch_id and f.level == 0)]
+    if not held:
         return None
-    return table.filter(F.col("batch_id") != batch_id)
+    keys = _open_keys(spark, kind, path, held)
+    asked = with_marks(events, kind).select("mark").distinct().limit(FEW + 1).collect()
+    if len(asked) <= FEW:
+        spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(FEW))
+        keys = keys.filter(F.col("mark").isin([row["mark"] for row in asked]))
+    return keys.select(*NATURAL_KEY[kind])
+
+
+def merge_keys(spark: SparkSession, kind: str, path: str, most: int = MOST_KEY_WRITES) -> None:
+    """Merge the key folders of a level into one of the next when there are over ``most``.
+
+    So a key is written again as often as the logarithm of the number of batches, and a
+    look-up opens few folders. The newest batch stays apart, as it may be repeated.
+    """
+    keys = [folder for folder in log.newest(spark, path).live if folder.is_keys]
+    newest = max((folder.batch for folder in keys), default=-1)
+    for level in sorted({folder.level for folder in keys}):
+        own = [f for f in keys if f.level == level and not (level == 0 and f.batch == newest)]
+        if len(own) > most:
+            last = max(folder.batch for folder in own)
+            merged = _keys_written(_open_keys(spark, kind, path, own), path, last, level + 1)
 
+            def change(now: log.Manifest) -> log.Manifest | None:
+                if not set(own) <= set(now.live):
+                    return None
+                return replace(now, added=(merged,), removed=tuple(own), settled=max(now.settled, last))
 
-def days_of(events: DataFrame) -> list[date]:
-    """The days a batch touches, ``MOST_DAYS`` and one at most (bad clocks can name any day)."""
-    days = events.select(F.to_date("event_time").alias("day")).filter("day IS NOT NULL").distinct()
-    return [r["day"] for r in days.limit(MOST_DAYS + 1).collect()]
+            log.commit(spark, path, "keys", change)
+            return
 
 
 def append_predictions(predictions: DataFrame, path: str, run_id: str) -> None:
@@ -141,8 +229,8 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """The written versions of a table, oldest first; one that was not finished has no success mark and is left out."""
-    place, files = _place(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
-    return sorted(int(f.getPath().getParent().getName().partition("=")[2]) for f in files.globStatus(place) or [])
+    marks = log.names(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
+    return sorted(int(mark.rpartition("/")[0].rpartition("=")[2]) for mark in marks)
 
 
 def merge_predictions(predictions: DataFrame, path: str) -> None:
@@ -159,7 +247,7 @@ def merge_predictions(predictions: DataFrame, path: str) -> None:
     now = versions[-1] + 1 if versions else 0
     latest_predictions(rows).write.mode("overwrite").parquet(f"{root}/version={now}")
     for old in versions[:-1]:
-        _remove(spark, f"{root}/version={old}")
+        log.remove(spark, f"{root}/version={old}")
 
 
 def current_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -32,20 +32,19 @@ def quake_files(spark: SparkSession, path: str, one_per_line: bool = False) -> D
     return _unfold(files, "features")
 
 
-WIDEST = 64  # columns of a line that are looked at
-
-
 def fire_files(spark: SparkSession, path: str) -> DataFrame:
     """Delimited text, each file with a header of its own -> rows by column name.
 
-    Files may name their columns in any order and leave some out. A file is cut into tasks
+    Files may name their columns in any order and leave some out; as many cells of a line are
+    looked at as the widest header has. A file is cut into tasks
     like any text; its header is found by its names and joined to its lines. Lines of a file
     without header, which no name says how to read, are corrupt.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
-    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(WIDEST)))
     parts = F.transform(F.split("value", ","), lambda name: F.trim(F.translate(name, '"', "")))
     is_header = F.array_contains(parts, "acq_date") & F.array_contains(parts, "latitude")
+    widest = lines.filter(is_header).agg(F.max(F.size(parts))).first()[0] or 1
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(widest)))
     headers = lines.filter(is_header).groupBy("file").agg(F.min("value").alias("value"))
     headers = headers.select("file", parts.alias("names"))
     named = lines.filter(~is_header).join(headers, "file", "left")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clock import with_event_time
-from ..schemas import STREAM_SCHEMA
+from ..schemas import NATURAL_KEY, STREAM_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
 # Fixed value: how late rows of a stream may be for stateful steps.
 LATENESS = {"pollution": "2 hours"}
+# How long after its arrival a repeat is known by state, where nothing is stated.
+NEAR = "2 hours"
 # What one batch takes in at most, so that a backlog is worked off in steps.
 MAX_OFFSETS, MAX_FILES = 1_000_000, 1_000
 
@@ -64,3 +66,14 @@ def with_watermark(rows: DataFrame, kind: str, lateness: str | None = None) -> D
     """Mark how late rows may be, where that is stated. On its own this drops nothing; stateful steps use it."""
     late = lateness or LATENESS.get(kind)
     return rows.withWatermark("event_time", late) if late else rows
+
+
+def without_near_repeats(rows: DataFrame, kind: str, span: str | None = None) -> DataFrame:
+    """Rows of a stream less those whose key arrived within ``span`` before.
+
+    The watermark runs on the time of arrival, which no row is behind, so nothing is dropped
+    for being late, be it days old. State holds the keys of the last ``span`` and no more; older repeats
+    are left to the key index.
+    """
+    arriving = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", span or LATENESS.get(kind, NEAR))
+    return arriving.dropDuplicatesWithinWatermark(list(NATURAL_KEY[kind])).drop("_arrived")

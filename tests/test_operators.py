@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hazgrid import fixtures
 from hazgrid.functions import clock, encode, grid
-from hazgrid.operators import dedup, features, metrics, profile, serving, split, zones
+from hazgrid.operators import dedup, features, metrics, profile, rollup, serving, split, zones
 from hazgrid.operators.ranking import running_totals
 from hazgrid.plans import layers
 from hazgrid.schemas import FEATURES, LABEL, NATURAL_KEY, ZONE
@@ -209,6 +209,38 @@ def test_pull_walks_the_whole_table_in_steps(t):
     assert len(seen) == len(set(seen)) == same.count()
 
 
+def test_pages_are_those_of_the_pulls(t):
+    same = t.quakes.withColumn("event_time", F.date_trunc("DAY", "event_time").cast("timestamp_ntz"))
+    got = {r["id"]: r["page"] for r in serving.pages(same, "earthquakes", 40).collect()}
+    cursor, page = (datetime(1970, 1, 1), None), 0
+    while page < 3:
+        pulled = serving.pull_since(same, "earthquakes", cursor[0], limit=40, last_key=cursor[1])
+        assert {got[r["id"]] for r in pulled.collect()} == {page}
+        cursor, page = serving.next_cursor(pulled, "earthquakes", *cursor), page + 1
+    assert len(got) == same.count() and max(got.values()) == (len(got) - 1) // 40
+
+
+@pytest.mark.parametrize("hours", [0, 11.5, 24 * 9])
+def test_rolled_days_equal_a_rebuild(spark, t, tmp_path, hours):
+    staged, as_of = layers.staged(t.quakes, t.fires, t.air), t.as_of - timedelta(hours=hours)
+    rollup.store_days(rollup.zone_days(*staged), str(tmp_path))
+    rollup.store_days(rollup.zone_days(*staged).filter(F.col("day") == F.lit(as_of.date())), str(tmp_path))  # one day again
+    days = rollup.read_days(spark, str(tmp_path))
+    rolled = rollup.active_zones(days, *staged, as_of)
+    assert as_rows(rounded(rolled)) == as_rows(rounded(zones.active_zones(*staged, as_of)))
+    for horizon in (0.2, 1):
+        short = rollup.active_zones(days, *staged, as_of, horizon)
+        assert as_rows(rounded(short)) == as_rows(rounded(zones.active_zones(*staged, as_of, horizon)))
+
+
+def test_rolled_days_read_few_rows(spark, t, tmp_path):
+    staged = layers.staged(t.quakes, t.fires, t.air)
+    rollup.store_days(rollup.zone_days(*staged), str(tmp_path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = rollup.active_zones(rollup.read_days(spark, str(tmp_path)), *staged, t.as_of)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Or(LessThan(ts") == 3 and "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_cursor_stays_when_nothing_is_new(t):
     pulled = serving.pull_since(t.quakes, "earthquakes", t.as_of)
     assert serving.next_cursor(pulled, "earthquakes", t.as_of) == (t.as_of, None)

@@ -11,7 +11,7 @@ from hazgrid import fixtures
 from hazgrid.functions.clock import since
 from hazgrid.operators.dedup import distinct_events
 from hazgrid.schemas import KINDS, NATURAL_KEY, STREAM_SCHEMA
-from hazgrid.sinks import tables, topics
+from hazgrid.sinks import log, tables, topics
 from hazgrid.streaming import jobs
 from hazgrid.streaming import topics as streams
 
@@ -145,10 +145,12 @@ def test_table_stream_and_layout(spark, sf_dir, tmp_path):
     tables.write_batch(quakes, "earthquakes", path, 0)
     again = tables.read_table(spark, "earthquakes", path, batched=True)
     assert again.count() == quakes.count()
+    log.sweep(spark, path, "event_date=*/batch_id=*/write=*")
     stream = jobs.table_stream(spark, "earthquakes", path).writeStream.format("memory").queryName("landed").trigger(**NOW).start()
     stream.awaitTermination(60)
     assert spark.table("landed").count() == quakes.count()
-    for file in glob.glob(f"{path}/event_date=*/batch_id=0/*.parquet"):
+    assert len(glob.glob(f"{path}/event_date=*/batch_id=0/*")) > 1
+    for file in glob.glob(f"{path}/event_date=*/batch_id=0/*/*.parquet"):
         stored = pq.read_table(file, partitioning=None, columns=["event_time", "id"]).to_pylist()
         assert stored == sorted(stored, key=lambda r: (r["event_time"], r["id"]))
         footer = pq.ParquetFile(file)
@@ -169,15 +171,133 @@ def test_horizon_prunes_folders(spark, sf_dir, tmp_path):
     assert recent.count() == quakes.filter("event_time >= TIMESTAMP'2024-01-13 00:00:00'").count()
 
 
-def test_landed_rows_are_read_from_near_days_only(spark, sf_dir, tmp_path):
+def test_only_row_groups_of_the_keys_are_read(spark, sf_dir, tmp_path):
     quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
     path = str(tmp_path / "t")
-    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 5) is None
-    tables.write_batch(quakes, "earthquakes", path, 3)
-    near = tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 5)
-    assert {r[0] for r in near.select("event_date").distinct().collect()} == {date(2024, 1, d) for d in (9, 10, 11)}
-    assert len(near.inputFiles()) < len(tables.read_table(spark, "earthquakes", path, batched=True).inputFiles())
-    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 10)], 3).count() == 0
+    assert tables.landed_keys(quakes, "earthquakes", path, 5) is None
+    for batch in range(5):
+        tables.write_batch(quakes.filter(F.pmod(F.xxhash64("id"), F.lit(5)) == batch), "earthquakes", path, batch)
+    asked = spark.createDataFrame(quakes.limit(1).collect(), quakes.schema)
+    near = tables.landed_keys(asked, "earthquakes", path, 9)
+    assert {r.id for r in asked.select("id").collect()} == {r.id for r in near.collect()}
+    leaf = near._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert "mark" in leaf.toString().split("PushedFilters:")[1].split("]")[0]
+    read = leaf.metrics().apply("numOutputRows").value()
+    assert 0 < read < quakes.count() / 3  # of five files one has the key
+    everything = tables.landed_keys(quakes, "earthquakes", path, 9)
+    assert everything.count() == quakes.count()
+    own = quakes.filter(F.pmod(F.xxhash64("id"), F.lit(5)) == 3)
+    assert tables.landed_keys(own, "earthquakes", path, 3).count() == 0  # a repeat is not held against itself
+
+
+def test_one_id_lands_once_whatever_its_times(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path, ids = str(tmp_path / "t"), quakes.count()
+    for batch, days in enumerate((0, 2, 40, -400, 4000)):
+        part = quakes if batch else quakes.filter("tsunami = 0 AND id NOT LIKE '%7'")
+        tables.append_new(part.withColumn("event_time", F.col("event_time") + F.expr(f"INTERVAL {days} DAYS")), "earthquakes", path, batch)
+    landed = tables.read_table(spark, "earthquakes", path, batched=True)
+    assert landed.count() == landed.select("id").distinct().count() == ids
+
+
+def test_merged_keys_find_the_same(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path = str(tmp_path / "t")
+    for batch, part in enumerate(quakes.randomSplit([1.0] * 5, 3)):
+        tables.write_batch(part, "earthquakes", path, batch)
+    keys = lambda: [f for f in log.newest(spark, path).live if f.is_keys]
+    assert len(keys()) == 5
+    tables.merge_keys(spark, "earthquakes", path, most=3)
+    assert sorted(f.level for f in keys()) == [0, 1]
+    assert tables.landed_keys(quakes, "earthquakes", path, 9).count() == quakes.count()
+    tables.write_batch(quakes, "earthquakes", path, 2)  # merged, so final
+    assert tables.read_table(spark, "earthquakes", path, batched=True).count() == quakes.count()
+
+
+STOPS = ["_rows_written", "_keys_written", "log.commit", "log.put"]
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, name, before):
+    """Let a step fail before or after it has done its work."""
+    owner, step = (log, name.split(".")[1]) if "." in name else (tables, name)
+    work = getattr(owner, step)
+
+    def failing(*args, **kwargs):
+        if not before:
+            work(*args, **kwargs)
+        raise Stopped
+
+    monkeypatch.setattr(owner, step, failing)
+
+
+@pytest.mark.parametrize("name", STOPS)
+@pytest.mark.parametrize("before", [True, False])
+def test_a_stopped_batch_is_whole_or_not_there(spark, sf_dir, tmp_path, monkeypatch, name, before):
+    rows = base(spark, sf_dir)["earthquakes"].limit(6).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    rows, path = spark.createDataFrame(rows.collect(), rows.schema), str(tmp_path / "t")
+    tables.write_batch(rows.limit(2), "earthquakes", path, 0)
+    with monkeypatch.context() as patched:
+        stop_at(patched, name, before)
+        with pytest.raises(Stopped):
+            tables.append_new(rows, "earthquakes", path, 1)
+    ids = lambda: sorted(r.id for r in tables.read_table(spark, "earthquakes", path, batched=True).collect())
+    assert len(ids()) in (2, 6)
+    tables.append_new(rows, "earthquakes", path, 1)
+    assert ids() == sorted(r.id for r in rows.collect())
+
+
+@pytest.mark.parametrize("name", ["log.commit", "log.put", "log.sweep", "log.remove"])
+@pytest.mark.parametrize("before", [True, False])
+def test_a_stopped_compaction_loses_and_doubles_nothing(spark, sf_dir, tmp_path, monkeypatch, name, before):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path, day = str(tmp_path / "t"), date(2024, 1, 9)
+    rows = quakes.filter(F.to_date("event_time") == F.lit(day)).limit(3)
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    for batch, part in enumerate(rows.collect()):
+        tables.write_batch(spark.createDataFrame([part], rows.schema), "earthquakes", path, batch)
+    count = lambda: tables.read_table(spark, "earthquakes", path, batched=True).count()
+    with monkeypatch.context() as patched:
+        stop_at(patched, name, before)
+        with pytest.raises(Stopped):
+            tables.compact(spark, "earthquakes", path, day)
+    assert count() == 3
+    tables.compact(spark, "earthquakes", path, day)
+    assert count() == 3 and len(glob.glob(f"{path}/event_date={day}/*/*")) == 1
+
+
+def test_two_writers_both_land(spark, sf_dir, tmp_path):
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path = str(tmp_path / "t")
+    tables.write_batch(quakes.filter("tsunami = 1"), "earthquakes", path, 0)
+    stale = log.newest(spark, path)
+    tables.write_batch(quakes.filter("tsunami = 0"), "earthquakes", path, 1)
+    with pytest.raises(log.Taken):
+        log.put(spark, path, log.Manifest(version=stale.version + 1))
+    late = log.Folder("event_date=2024-01-01/batch_id=7/write=x", 7, day="2024-01-01")
+    after = log.commit(spark, path, "batch", lambda now: log.Manifest(settled=now.settled, added=(late,)))
+    assert after.version == stale.version + 2 and late in after.live and set(stale.live) < set(after.live)
+
+
+def test_commit_feed_sends_each_row_once(spark, sf_dir, tmp_path):
+    """Not again after compaction, nor what a repeated batch had sent before."""
+    quakes = base(spark, sf_dir)["earthquakes"].withColumn("event_time", F.col("event_time").cast("timestamp"))
+    path, seen = str(tmp_path / "t"), []
+    feed = lambda: jobs.commit_feed(
+        spark, {"earthquakes": path}, lambda rows, i: seen.extend(r.id for r in rows.collect()), str(tmp_path / "c"), NOW
+    ).awaitTermination(90)
+    tables.append_new(quakes.filter("tsunami = 0"), "earthquakes", path, 0)
+    feed()
+    tables.append_new(quakes.filter("id NOT LIKE '%3'"), "earthquakes", path, 1)
+    feed()
+    tables.write_batch(quakes.filter("tsunami = 1"), "earthquakes", path, 1)  # the batch again, with more rows
+    tables.compact(spark, "earthquakes", path, date(2024, 1, 9), clean=False)
+    feed()
+    feed()
+    assert sorted(seen) == sorted(r.id for r in quakes.select("id").collect())
 
 
 def test_a_repeated_batch_replaces_itself_on_all_days(spark, sf_dir, tmp_path):
@@ -191,7 +311,7 @@ def test_a_repeated_batch_replaces_itself_on_all_days(spark, sf_dir, tmp_path):
     assert landed.filter("batch_id = 1").count() == 1
     assert {r[0] for r in landed.select("event_date").distinct().collect()} == {date(2024, 1, 12)}
     # a repeat is held against all other batches, later ones too
-    assert tables.landed_on(spark, "earthquakes", path, [date(2024, 1, 12)], 1).count() == other.count()
+    assert tables.landed_keys(other, "earthquakes", path, 1).count() == other.count()
 
 
 def test_closed_days_are_put_into_one_folder(spark, sf_dir, tmp_path):
@@ -207,12 +327,21 @@ def test_closed_days_are_put_into_one_folder(spark, sf_dir, tmp_path):
         assert sorted(r["id"] for r in landed.collect()) == sorted(r["id"] for r in rows.collect())
 
 
-def test_days_beyond_any_list_are_read_whole(spark, sf_dir, tmp_path):
-    rows = base(spark, sf_dir)["earthquakes"].limit(3).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    path = str(tmp_path / "t")
-    tables.write_batch(rows, "earthquakes", path, 0)
-    ends = [date.min, date.max, *(date.fromordinal(700_000 + 2 * n) for n in range(tables.MOST_DAYS))]
-    assert tables.landed_on(spark, "earthquakes", path, ends, 1).count() == 3
+def test_near_repeats_by_state_others_by_the_index(spark, sf_dir, tmp_path):
+    """State is bounded by its span; rows far behind in time are first sightings all the same."""
+    kind, df = "pollution", base(spark, sf_dir)["pollution"].drop("event_time")
+    twice = df.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    topics.land_messages(twice.repartitionByRange(4, F.desc("measured_at"), "_copy").drop("_copy"), kind, str(tmp_path))
+    wanted, held = df.select(*NATURAL_KEY[kind]).distinct().count(), {}
+    for span in ("0 seconds", None):
+        read = streams.typed(streams.file_stream(spark, kind, str(tmp_path), max_files=1), kind)
+        rows, table = streams.without_near_repeats(read, kind, span), str(tmp_path / f"t{span}")
+        query = jobs.append_new_stream(rows, kind, table, str(tmp_path / f"c{span}"), NOW)
+        query.awaitTermination(180)
+        assert tables.read_table(spark, kind, table, batched=True).count() == wanted
+        held[span] = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+        assert all(p["stateOperators"][0]["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress if p["stateOperators"])
+    assert held["0 seconds"] < wanted / 2 and held[None] == wanted
 
 
 def test_all_kinds_have_a_schema():
