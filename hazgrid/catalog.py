@@ -513,8 +513,9 @@ def _committed(t: BaseTables, kinds: dict[str, DataFrame]) -> DataFrame:
 def committed_feed(t):
     """One feed of all three kinds with one cursor: each observation once."""
     handed = _committed(t, {"earthquakes": t.quakes, "wildfires": t.fires, "pollution": t.air})
-    keys = sorted({key for kind in KINDS for key in NATURAL_KEY[kind]})
-    return handed.select("_type", *keys)
+    of = {"earthquake": "earthquakes", "wildfire": "wildfires", "pollution": "pollution"}
+    keys = {key: [tag for tag, kind in of.items() if key in NATURAL_KEY[kind]] for k in KINDS for key in NATURAL_KEY[k]}
+    return handed.select("_type", *(F.when(F.col("_type").isin(tags), F.col(key)).alias(key) for key, tags in keys.items()))
 
 
 def _shuffled(rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from . import log
 
 _FOLDERS = ("event_date", "batch_id", "write")
 #: The key index: its folder, key folders of a level before they are merged, and keys that are asked for one by one.
-KEYS, MOST_KEY_WRITES, FEW = "_keys", 32, 5_000
+KEYS, MOST_KEY_WRITES, FEW = "_keys", 32, 200
 
 
 def _laid_out(events: DataFrame, kind: str, *folders: str) -> DataFrame:
@@ -66,8 +66,7 @@ def write_batch(events: DataFrame, kind: str, path: str, batch_id: int, keys: bo
         return
     added = _rows_written(events, kind, path, batch_id)
     if keys and added:
-        landed = open_folders(spark, kind, path, added)
-        added.append(_keys_written(with_marks(landed, kind), path, batch_id, 0))
+        added.append(_keys_written(with_marks(events, kind), path, batch_id, 0))
 
     def change(now: log.Manifest) -> log.Manifest:
         earlier = tuple(folder for folder in now.live if folder.batch == batch_id and folder.level == 0)
