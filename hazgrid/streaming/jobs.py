@@ -14,7 +14,7 @@ from ..schemas import KINDS, NATURAL_KEY
 from ..session import use_utc
 from ..sinks import log
 from ..sinks.tables import append_new, open_folders, read_table, write_batch
-from .topics import MAX_FILES, file_stream, typed, unreadable, without_near_repeats
+from .topics import MAX_FILES, counted, file_stream, unreadable, without_near_repeats
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -102,7 +102,7 @@ def start_all(
     read = source or (lambda kind: file_stream(spark, kind, topics, max_files))
     running = {}
     for kind in KINDS:
-        rows, table = without_near_repeats(typed(read(kind), kind), kind), f"{tables.rstrip('/')}/{kind}"
+        rows, table = without_near_repeats(counted(read(kind), kind), kind), f"{tables.rstrip('/')}/{kind}"
         running[kind] = append_new_stream(rows, kind, table, checkpoint, trigger)
         if rejects:
             running[f"rejects_{kind}"] = reject_stream(unreadable(read(kind), kind), kind, rejects, checkpoint, trigger)

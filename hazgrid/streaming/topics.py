@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..functions.clock import with_event_time
 from ..schemas import NATURAL_KEY, STREAM_SCHEMA
@@ -77,3 +78,43 @@ def without_near_repeats(rows: DataFrame, kind: str, span: str | None = None) ->
     """
     arriving = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", span or LATENESS.get(kind, NEAR))
     return arriving.dropDuplicatesWithinWatermark(list(NATURAL_KEY[kind])).drop("_arrived")
+
+
+def counted(messages: DataFrame, kind: str) -> DataFrame:
+    """``typed`` messages that have an event time, counted on their way by kind of verdict.
+
+    Sent, accepted and rejected messages of each batch are in the query's progress as
+    ``intake_<kind>``, without a job of their own; ``Intake`` adds them up.
+    """
+    rows = with_event_time(parse_messages(messages, kind), kind)
+    good = F.col(CORRUPT).isNull() & F.col("event_time").isNotNull()
+    seen = rows.observe(
+        f"intake_{kind}",
+        F.count(F.lit(1)).alias("total_features"),
+        F.count_if(good).alias("sent"),
+        F.count_if(~good).alias("rejected"),
+    )
+    return seen.filter(good).drop(CORRUPT)
+
+
+class Intake(StreamingQueryListener):
+    """Counts of running streams, by kind, as their batches finish; add it with ``spark.streams.addListener``."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            if name.startswith("intake_"):
+                held = self.counts.setdefault(name.removeprefix("intake_"), {})
+                for part, n in row.asDict().items():
+                    held[part] = held.get(part, 0) + n
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

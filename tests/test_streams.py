@@ -1,6 +1,7 @@
 """Streams over message files, run to the end of what is there, against the batch results."""
 
 import glob
+import time
 from datetime import date, datetime
 
 import pyarrow.parquet as pq
@@ -101,6 +102,27 @@ def test_unreadable_messages_are_kept(spark, tmp_path):
         assert [tuple(r) for r in spark.read.parquet(f"{root}/rejects/{kind}").collect()] == [("malformed", "{broken")]
 
 
+def test_counts_of_a_running_stream(spark, sf_dir, tmp_path):
+    """Totals of all batches are those of the messages, without another pass over them."""
+    kind, df = "wildfires", base(spark, sf_dir)["wildfires"].drop("event_time")
+    topics.land_messages(df.repartition(3), kind, str(tmp_path))
+    (tmp_path / kind / "bad.txt").write_text('{"acq_date": "2024-04-26", "acq_time": "2570"}\n{broken\n')
+    intake = streams.Intake()
+    spark.streams.addListener(intake)
+    try:
+        rows = streams.counted(streams.file_stream(spark, kind, str(tmp_path), max_files=1), kind)
+        jobs.append_new_stream(rows, kind, str(tmp_path / "t"), str(tmp_path / "c"), NOW).awaitTermination(120)
+        n = df.count()
+        wanted = {"total_features": n + 2, "sent": n, "rejected": 2}
+        for _ in range(100):  # progress is reported a little later
+            if intake.counts.get(kind) == wanted:
+                break
+            time.sleep(0.1)
+        assert intake.counts == {kind: wanted}
+    finally:
+        spark.streams.removeListener(intake)
+
+
 def test_watermark_alone_drops_nothing(spark, tmp_path):
     root = tmp_path / "pollution"
     root.mkdir()
