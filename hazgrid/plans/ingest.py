@@ -32,6 +32,6 @@ def ingest(
     """
     rows = settled(judged(spark, kind, path, ingested_at), f"ingest-{kind}")
     good = rows.filter(F.col(normalize.REASON).isNull()).drop(normalize.REASON)
-    fresh = append_new(good, kind, table, run)
+    landed = append_new(good, kind, table, run)
     normalize.rejected(rows).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/{kind}/run={run}")
-    return normalize.ingest_stats({kind: rows}).withColumn("landed", F.lit(fresh.count()).cast("bigint"))
+    return normalize.ingest_stats({kind: rows}).withColumn("landed", F.lit(landed).cast("bigint"))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import distinct_events, latest_per_key, new_events
 from ..schemas import NATURAL_KEY, SORT_KEY, STREAM_SCHEMA, ZONE
-from ..session import settled
 from . import log
 
 _FOLDERS = ("event_date", "batch_id", "write")
@@ -76,15 +75,17 @@ def write_batch(events: DataFrame, kind: str, path: str, batch_id: int, keys: bo
     merge_keys(spark, kind, path)
 
 
-def append_new(events: DataFrame, kind: str, path: str, batch_id: int) -> DataFrame:
-    """Land the observations of a batch that no other batch has landed, ever; returns them, as landed."""
-    spark, held = events.sparkSession, events.filter("event_time IS NOT NULL")
+def append_new(events: DataFrame, kind: str, path: str, batch_id: int) -> int:
+    """Land the observations of a batch that no other batch has landed, ever; returns how many."""
+    held = events.filter("event_time IS NOT NULL")
     known = landed_keys(held, kind, path, batch_id)
-    fresh = settled(
-        distinct_events(held, kind) if known is None else new_events(held, known, kind), f"fresh-{kind}"
-    )
-    write_batch(fresh, kind, path, batch_id)
-    return fresh
+    # the folders of known keys are fixed here, so what is lost of the cache comes out the same again
+    fresh = (distinct_events(held, kind) if known is None else new_events(held, known, kind)).persist()
+    try:
+        write_batch(fresh, kind, path, batch_id)
+        return fresh.count()
+    finally:
+        fresh.unpersist()
 
 
 def compact(spark: SparkSession, kind: str, path: str, day: date, clean: bool = True) -> None:
