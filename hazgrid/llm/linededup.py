@@ -45,8 +45,8 @@ def covered(found: DataFrame, window: int = WINDOW) -> DataFrame:
     place = F.struct("doc", "nth")
     repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
     later = found.join(repeated.select("hash", "first"), "hash").filter(place > F.col("first"))
-    # one document's lines: bounded by the document
-    starts = later.select("doc", "nth").groupBy("doc").agg(F.collect_list("nth").alias("starts"))
+    # one document's lines, each once though rows repeat: bounded by the document
+    starts = later.select("doc", "nth").groupBy("doc").agg(F.collect_set("nth").alias("starts"))
     merged = f"array_distinct(flatten(transform(starts, s -> sequence(s, s + {window - 1}))))"
     return starts.select("doc", F.expr(merged).alias("gone"))
 
@@ -54,8 +54,8 @@ def covered(found: DataFrame, window: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` with repeated passages cut from ``text``, and ``n_removed``, the lines cut.
 
-    The order of documents is doc_id, a missing one last, then a hash of the text; rows alike in
-    both are one document and cut alike. A text of which nothing is cut stays as it is, a missing one missing; one
+    The order of documents is doc_id, a missing one last, then the MD5 of the text; rows alike in
+    both are one document, which no copy of it cuts, and are cut alike. A text of which nothing is cut stays as it is, a missing one missing; one
     that is cut whole is empty. Blank passages are never cut. An empty table gives an empty
     result; columns named like those made here are replaced.
     """
@@ -63,7 +63,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     order = F.struct(
         F.col("doc_id").isNull().alias("missing"),
         F.col("doc_id").alias("id"),
-        F.xxhash64("text").alias("text"),
+        F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")).alias("text"),
     )
     every = F.struct(*[F.col(f"`{c}`") for c in columns])
     packed = docs.select(order.alias("doc"), whole_text().alias("text"), every.alias("all"))

@@ -43,6 +43,18 @@ def test_missing_ids_and_repeated_rows(spark):
     ]
 
 
+def test_repeated_rows_equal_sql(spark, tmp_path):
+    texts = ["a\nb\nc", "a\nb\nc", "x\na\nb\nc\ny", "x\na\nb\nc\ny", None, "", "d\ne\nf"]
+    rows = [(i, t) for i in (None, 3, 3, 5) for t in texts]
+    rows += [(9, "k\nk\nk\nk")] * 50
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op9_line_dedup(spark, str(tmp_path))
+    found = sorted(map(tuple, out.select("doc_id", "n_removed", "text_sha256").collect()), key=repr)
+    assert len(found) == len(rows)
+    assert found == sorted(compare.connect(str(tmp_path)).execute(queries.OP9_SQL).fetchall(), key=repr)
+
+
 def test_empty_table(spark, sf_dir):
     none = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("false")
     assert linededup.without_repeats(none).count() == 0
