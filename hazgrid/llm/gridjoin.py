@@ -48,6 +48,11 @@ def _units(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, which rounds nothing, so that squares neither vanish nor overflow."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0.0))[1])
+
+
 def axes_of(classes: DataFrame, width: int, sample: int = SAMPLE) -> np.ndarray:
     """Principal axes of about ``sample`` unit vectors at most, one per column, leading ones first."""
     count = classes.count()
@@ -147,9 +152,9 @@ def _join(epsilon: float, least: float):
         same = key[0] == key[1]
         both = []
         for frame in (rows[~rows["second"]], rows if same else rows[rows["second"]]):
-            order = sorted(range(len(frame)), key=lambda i: (tuple(frame["cell"].iloc[i]), frame["class"].iloc[i]))
-            frame = frame.iloc[order]
-            vectors = _matrix(frame["embedding"])
+            cells = np.array(frame["cell"].tolist(), "i4").reshape(len(frame), -1)
+            frame = frame.iloc[np.lexsort([frame["class"].to_numpy("i8"), *cells.T[::-1]])]
+            vectors = _scaled(_matrix(frame["embedding"]))
             norms = np.sqrt((vectors * vectors).sum(axis=1))
             numbers = [frame[c].to_numpy("i8") for c in ("class", "members")]
             both.append((_matrix(frame["place"]), vectors, norms, *numbers))

@@ -134,39 +134,44 @@ QUERIES: tuple[Query, ...] = (
 )
 
 OP9_SQL = """
-WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+WITH docs AS (SELECT doc_id, text, coalesce(md5(text), '') AS m FROM documents),
+lines AS (SELECT DISTINCT doc_id, m, string_split(text, chr(10)) AS l FROM docs WHERE text IS NOT NULL),
 windows AS (
-  SELECT doc_id, i, md5(array_to_string(l[i:i + 2], chr(10))) AS h
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)
+  SELECT doc_id, m, i, md5(array_to_string(l[i:i + 2], chr(10))) AS h
+  FROM (SELECT doc_id, m, l, unnest(range(1, len(l) - 1)) AS i FROM lines WHERE len(l) >= 3)
   WHERE regexp_matches(array_to_string(l[i:i + 2], chr(10)), '[^ \t-\r]')
 ),
 later AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM windows)
+  SELECT doc_id, m, i
+  FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id NULLS LAST, m, i) AS n FROM windows)
   WHERE n > 1
 ),
-gone AS (SELECT DISTINCT doc_id, i + step AS i FROM later, (SELECT unnest([0, 1, 2]) AS step)),
-each_line AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
+gone AS (SELECT DISTINCT doc_id, m, i + step AS i FROM later, (SELECT unnest([0, 1, 2]) AS step)),
+each_line AS (SELECT doc_id, m, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM lines),
 kept AS (
-  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS text
-  FROM each_line e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id
+  SELECT e.doc_id, e.m, string_agg(e.line, chr(10) ORDER BY e.i) AS text FROM each_line e
+  ANTI JOIN gone g ON e.doc_id IS NOT DISTINCT FROM g.doc_id AND e.m = g.m AND e.i = g.i GROUP BY ALL
 ),
-counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
-SELECT d.doc_id, CAST(coalesce(c.n, 0) AS INTEGER) AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
-FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id LEFT JOIN counts c ON d.doc_id = c.doc_id
+counts AS (SELECT doc_id, m, count(*) AS n FROM gone GROUP BY ALL)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS INTEGER) AS n_removed,
+  CASE WHEN c.n IS NULL THEN sha256(d.text) ELSE sha256(coalesce(k.text, '')) END AS text_sha256
+FROM docs d
+LEFT JOIN counts c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.m = c.m
+LEFT JOIN kept k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.m = k.m
 """
 
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  SELECT vec_id, row_number() OVER () AS own, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.own, c.vec_id,
     CAST(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  FROM v q JOIN v c ON q.own <> c.own WHERE q.vec_id % 20 = 0
 ),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 

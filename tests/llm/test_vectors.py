@@ -82,15 +82,16 @@ def test_intervals_that_are_far_apart_are_not_compared():
 
 
 def brute_top(rows, k=20):
-    first = {}
-    for i, vector, *_ in rows:
-        if i is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
-            values = [math.floor(64 * float(np.float32(x))) for x in vector]
-            first[i] = min(first.get(i, values), values)
+    held = [
+        (i, [math.floor(64 * float(np.float32(x))) for x in vector])
+        for i, vector, *_ in rows
+        if i is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+    ]
     out = []
-    for q in sorted(first):
+    for own, (q, asked) in enumerate(held):
         if q % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(first[q], v)), i) for i, v in first.items() if i != q)
+            others = ((i, v) for n, (i, v) in enumerate(held) if n != own)
+            scores = sorted((-sum(a * b for a, b in zip(asked, v)), i) for i, v in others)
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return out
 
@@ -107,6 +108,28 @@ def test_search_against_brute_force(spark):
         assert sorted(tuple(r) for r in out) == sorted(brute_top(rows))
 
 
+def test_search_keeps_every_row_of_an_id(spark, tmp_path):
+    rows = [(1, [0.9], 1, "v", "c"), (1, [0.1], 1, "v", "c"), (20, [1.0], 1, "v", "c"), (20, [1.0], 1, "v", "c"), (20, [2.0], 1, "v", "c")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    out = bitslice.top_k(table, "vec_id % 20 = 0")
+    assert sorted(tuple(r) for r in out.collect()) == sorted(brute_top(rows))
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert compare.difference(out, compare.connect(str(tmp_path)), queries.OP3_SQL) is None
+
+
+def test_scores_beyond_a_long_stop_at_its_ends(spark):
+    rows = [(20, [1e16, -1e16]), (1, [1e16, 1.0]), (2, [-1e16, 3.0]), (3, [0.02])]
+    out = bitslice.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id = 20")
+    assert [(r.vec_id, r.score) for r in out.orderBy("rank").collect()] == [(1, 2**63 - 1), (3, 64 * 10**16), (2, -(2**63))]
+
+
+def test_vectors_of_any_size_link_by_cosine_alone(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [1.0, 1.0]), (3, [1e200, 1e200]), (4, [5e-324, 5e-324]), (5, [0.0, 1e308]), (6, [3.0, 0.0])]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<double>, label int")
+    out = gridjoin.near_vectors(table).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(1, 1, 1), (2, 2, 2), (3, 2, 2), (4, 2, 2), (5, 0, 5), (6, 1, 1)]
+
+
 def test_few_rows_and_none(spark):
     rows = [(0, [1.0, 2.0], 1, "v", "c"), (1, [0.5, 0.0], 1, "v", "c")]
     table = spark.createDataFrame(rows, SCHEMA)
