@@ -98,6 +98,35 @@ def test_contributions_add_up_to_the_margin(trained, stored):
     assert out.select(F.max(F.abs(total - F.col("margin")))).first()[0] < 1e-9
 
 
+def test_leaves_in_a_table_give_the_same(spark, trained, stored):
+    held = lambda r: [r["shap_values"][f] for f in FEATURES]
+    want = {(r[0], r[1]): r for r in explain.explained(trained.zones, stored).select(*ZONE, "base_value", "shap_values").collect()}
+    larger = explain.explained(trained.zones, stored, most=10)  # as if the model had too many nodes to broadcast
+    assert {(r["zone_lat"], r["zone_lon"]) for r in larger.collect()} == want.keys()
+    # several blocks of rows and chunks of leaves
+    leaves = explain.settled(explain.leaf_table(spark, stored, trained.model), "leaves")
+    known = model.scored(trained.model, trained.zones.select(*FEATURES))
+    dealt = explain.with_summed_contributions(known, leaves, per_block=20, per_chunk=300)
+    assert dealt.columns == [*known.columns, "contribution"]
+    for r in dealt.collect():
+        assert r["contribution"] == pytest.approx(held(want[r["zone_lat"], r["zone_lon"]]), abs=1e-9)
+    for r in larger.collect():
+        assert r["base_value"] == pytest.approx(want[r["zone_lat"], r["zone_lon"]]["base_value"], abs=1e-9)
+        assert held(r) == pytest.approx(held(want[r["zone_lat"], r["zone_lon"]]), abs=1e-9)
+
+
+def test_every_leaf_meets_every_block(spark, trained, stored):
+    """Also with fewer rows than blocks, and for a table without rows."""
+    leaves = explain.settled(explain.leaf_table(spark, stored, trained.model), "leaves")
+    boxes = explain.model_boxes(spark, stored, trained.model)
+    assert leaves.count() == len(boxes.value)
+    assert leaves.agg(F.sum("expected")).first()[0] == pytest.approx(boxes.base, abs=1e-9)
+    one = model.scored(trained.model, trained.zones.select(*FEATURES)).limit(1)
+    [row] = explain.with_summed_contributions(one, leaves, per_block=1, per_chunk=50).collect()
+    assert boxes.base + sum(row["contribution"]) == pytest.approx(row["margin"], abs=1e-9)
+    assert explain.with_summed_contributions(one.filter("false"), leaves).count() == 0
+
+
 def conditional_value(nodes, weight, x, known):
     """Expected tree output when only the features in ``known`` are given: branches weighted elsewhere."""
     node = nodes[weight]
