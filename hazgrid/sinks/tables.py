@@ -227,29 +227,62 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return latest_predictions(spark.read.parquet(path).drop("run_id"))
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """The written versions of a table, oldest first; one that was not finished has no success mark and is left out."""
-    marks = log.names(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
-    return sorted(int(mark.rpartition("/")[0].rpartition("=")[2]) for mark in marks)
+#: Edge of a tile of zones in degrees: predictions of a tile are stored, and replaced, together.
+TILE = 10
+
+
+def _tile():
+    """The number of a zone's tile; -1 for a zone without place. The globe has some 650."""
+    column, row = F.floor(F.col("zone_lon") / TILE), F.floor(F.col("zone_lat") / TILE)
+    return F.coalesce((row + 90 // TILE) * (360 // TILE) + column + 180 // TILE, F.lit(-1)).cast("int")
+
+
+def _open_tiles(spark: SparkSession, path: str, folders: list[log.Folder]) -> DataFrame:
+    root = path.rstrip("/")
+    return spark.read.option("basePath", root).parquet(*(f"{root}/{folder.path}" for folder in folders)).drop("tile", "write")
 
 
 def merge_predictions(predictions: DataFrame, path: str) -> None:
     """Replace the zones of a run in the current table: one row per zone, the newest prediction.
 
-    The table is a version per merge, of which the last two stay (readers may still be at the one
-    before). A merge reads the current version and the new run, not the history; one that was
-    stopped leaves a version without success mark, which the next merge overwrites.
+    Only tiles that the run has zones of are read and written again, as one commit; a merge that
+    stops before leaves the table as it was, and one that another merge of the same tiles
+    overtook starts again. Folders stay for one more commit, for readers that have just opened them.
     """
-    spark, versions, root = predictions.sparkSession, _versions(predictions.sparkSession, path), path.rstrip("/")
-    rows = predictions
-    if versions:
-        rows = rows.unionByName(spark.read.parquet(f"{root}/version={versions[-1]}"))
-    now = versions[-1] + 1 if versions else 0
-    latest_predictions(rows).write.mode("overwrite").parquet(f"{root}/version={now}")
-    for old in versions[:-1]:
-        log.remove(spark, f"{root}/version={old}")
+    spark, root = predictions.sparkSession, path.rstrip("/")
+    run = predictions.withColumn("tile", _tile()).persist()
+    try:
+        tiles = sorted(row["tile"] for row in run.select("tile").distinct().collect())
+        while tiles and not _tiles_replaced(spark, root, run, tiles):
+            pass
+    finally:
+        run.unpersist()
+
+
+def _tiles_replaced(spark: SparkSession, root: str, run: DataFrame, tiles: list[int]) -> bool:
+    touched = lambda manifest: tuple(folder for folder in manifest.live if folder.tile in tiles)
+    before = log.newest(spark, root)
+    held, write = touched(before), _write_id("merge")
+    rows = run.drop("tile")
+    if held:
+        rows = rows.unionByName(_open_tiles(spark, root, list(held)))
+    merged = latest_predictions(rows).withColumns({"tile": _tile(), "write": F.lit(write)})
+    merged = merged.hint("rebalance", F.col("tile")).sortWithinPartitions("tile", "write", *ZONE)
+    merged.write.mode("append").partitionBy("tile", "write").parquet(root)
+    added = tuple(log.Folder(f"tile={t}/write={write}", before.version + 1, tile=t) for t in tiles)
+
+    def change(now: log.Manifest) -> log.Manifest | None:
+        return replace(now, added=added, removed=held) if touched(now) == held else None
+
+    done = log.commit(spark, root, "predictions", change).added == added
+    for folder in before.removed if done else added:
+        log.remove(spark, f"{root}/{folder.path}")
+    return done
 
 
 def current_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """The current table, as the last finished merge left it."""
-    return spark.read.parquet(f"{path.rstrip('/')}/version={_versions(spark, path)[-1]}")
+    """The current table, as the last merge that was committed left it."""
+    live = list(log.newest(spark, path).live)
+    if not live:
+        raise FileNotFoundError(f"no predictions in {path}")
+    return _open_tiles(spark, path, live)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazgrid import fixtures
 from hazgrid.functions.clock import since
 from hazgrid.operators.dedup import distinct_events
-from hazgrid.schemas import KINDS, NATURAL_KEY, STREAM_SCHEMA
+from hazgrid.schemas import KINDS, NATURAL_KEY, STREAM_SCHEMA, ZONE
 from hazgrid.sinks import log, tables, topics
 from hazgrid.streaming import jobs
 from hazgrid.streaming import topics as streams
@@ -375,8 +375,63 @@ def test_merged_predictions_are_one_row_per_zone(spark, sf_dir, tmp_path):
     days = sorted(r[0] for r in runs.select(F.substring("predicted_at", 1, 10)).distinct().collect())
     for day in days[:5]:
         tables.merge_predictions(runs.filter(F.col("predicted_at").startswith(day)), path)
-    (tmp_path / "current" / "version=9").mkdir()  # a merge that was stopped
     wanted = tables.latest_predictions(runs.filter(F.substring("predicted_at", 1, 10).isin(*days[:5])))
     found = tables.current_predictions(spark, path).select(wanted.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
-    assert len(glob.glob(f"{path}/version=*/_SUCCESS")) == 2
+
+
+PREDICTION = "zone_lat double, zone_lon double, ml_risk_score double, ml_risk_label string, predicted_at string"
+
+
+def globe_of(spark, score, stamp, where="true"):
+    """A prediction for every zone of the globe for which ``where`` holds."""
+    zones = spark.range(180 * 360).selectExpr("CAST(id DIV 360 - 90 AS DOUBLE) AS zone_lat", "CAST(id % 360 - 180 AS DOUBLE) AS zone_lon")
+    return zones.filter(where).selectExpr("*", f"CAST({score} AS DOUBLE) AS ml_risk_score", "'low' AS ml_risk_label", f"'{stamp}' AS predicted_at")
+
+
+def test_a_run_of_one_region_rewrites_its_tiles_only(spark, tmp_path):
+    path = str(tmp_path / "current")
+    tables.merge_predictions(globe_of(spark, 0.1, "2024-01-01"), path)
+    before = set(log.newest(spark, path).live)
+    assert len(before) == 18 * 36
+    region = "zone_lat BETWEEN 10 AND 34 AND zone_lon BETWEEN -20 AND 4"  # one in a hundred zones
+    tables.merge_predictions(globe_of(spark, 0.9, "2024-01-02", region), path)
+    after = set(log.newest(spark, path).live)
+    assert len(after) == len(before) and len(after - before) == 9
+    tables.merge_predictions(globe_of(spark, 0.5, "2024-01-01 12:00", region), path)  # late, and older
+    got = tables.current_predictions(spark, path)
+    assert got.count() == 180 * 360 and got.filter("ml_risk_score = 0.9").count() == got.filter(region).count() == 25 * 25
+    assert got.select(*ZONE).distinct().count() == 180 * 360
+    tables.merge_predictions(got.filter("false"), path)
+    assert tables.current_predictions(spark, path).count() == 180 * 360
+
+
+def test_a_merge_that_stops_or_is_overtaken_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "current")
+    one = lambda score, stamp, lon=0.5: spark.createDataFrame([(0.5, lon, score, "low", stamp)], PREDICTION)
+    tables.merge_predictions(one(0.1, "2024-01-01"), path)
+    tables.merge_predictions(spark.createDataFrame([(None, 1.0, 0.2, "low", "2024-01-01")], PREDICTION), path)
+    real = log.put
+
+    def stopped(*args):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(log, "put", stopped)
+    with pytest.raises(RuntimeError):
+        tables.merge_predictions(one(0.9, "2024-01-03"), path)
+    monkeypatch.setattr(log, "put", real)
+    assert sorted(r["ml_risk_score"] for r in tables.current_predictions(spark, path).collect()) == [0.1, 0.2]
+
+    overtaken = []
+
+    def late(*args):
+        if not overtaken:
+            overtaken.append(True)
+            tables.merge_predictions(one(0.7, "2024-01-05", 1.5), path)
+        return real(*args)
+
+    monkeypatch.setattr(log, "put", late)
+    tables.merge_predictions(one(0.8, "2024-01-04"), path)
+    assert sorted(r["ml_risk_score"] for r in tables.current_predictions(spark, path).collect()) == [0.2, 0.7, 0.8]
+    log.sweep(spark, path, "tile=*/write=*")
+    assert sorted(r["ml_risk_score"] for r in tables.current_predictions(spark, path).collect()) == [0.2, 0.7, 0.8]
