@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -143,6 +143,45 @@ def landed_air(events):
     return normalize.normalize(raw, "pollution", fixtures.INGESTED_AT)
 
 
+PER_LARGE_DOCUMENT = 20_000
+
+
+def _large_documents(rows: DataFrame, items: str, path: str, *keep: str) -> None:
+    """Rows as files of one document each, a record to a line, of ``PER_LARGE_DOCUMENT`` records on average."""
+    documents = max(1, -(-rows.count() // PER_LARGE_DOCUMENT))
+    record = F.to_json(F.struct(*(c for c in rows.columns if c not in keep)))
+    spread = F.pmod(F.xxhash64(record), F.lit(documents))
+    named = rows.select(*keep, spread.alias("document"), F.lit(1).alias("part"), record.alias("value"))
+    place = F.row_number().over(Window.partitionBy("document", *keep).orderBy("value"))
+    listed = named.withColumn("value", F.concat(F.when(place > 1, ",").otherwise(""), "value"))
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("part"), F.lit('{"%s":[' % items).alias("value")),
+                             F.struct(F.lit(2).alias("part"), F.lit("]}").alias("value"))))
+    both = listed.unionByName(named.select(*keep, "document").distinct().select(*keep, "document", ends.alias("end")).select(
+        *keep, "document", "end.*"))
+    folders = [*keep, "document"]
+    laid = both.repartition(*folders).sortWithinPartitions(*folders, "part", F.col("value").startswith(","))
+    laid.drop("part").write.partitionBy(*folders).text(path)
+
+
+@_events_query
+def landed_large_quakes(events):
+    """Read from documents of many features, each cut into tasks where a feature begins."""
+    path = scratch_path(events.sparkSession, "landing-large-quakes")
+    _large_documents(fixtures.raw_quakes(events).select(F.lit("Feature").alias("type"), "*"), "features", path)
+    raw = landing.quake_files(events.sparkSession, path, record_start=landing.QUAKE_START)
+    return normalize.normalize(raw, "earthquakes", fixtures.INGESTED_AT)
+
+
+@_events_query
+def landed_large_air(events):
+    """The same of result pages, of which some records begin otherwise."""
+    path = scratch_path(events.sparkSession, "landing-large-air")
+    feed = fixtures.raw_air(events)
+    _large_documents(feed.select("datetime", *(c for c in feed.columns if c != "datetime")), "results", path, "country_id", "parameter_id")
+    raw = landing.air_files(events.sparkSession, path, record_start=landing.AIR_START)
+    return normalize.normalize(raw, "pollution", fixtures.INGESTED_AT)
+
+
 def _candidates(events):
     return {kind: normalize.CANDIDATES[kind](fixtures.RAW[kind](events), fixtures.INGESTED_AT) for kind in KINDS}
 

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazgrid.operators import normalize
 from hazgrid.plans.ingest import ingest, judged
@@ -42,6 +43,59 @@ def quake_dir(tmp_path):
     return str(tmp_path)
 
 
+def compact(value):
+    return json.dumps(value, separators=(",", ":"))
+
+
+def test_documents_cut_at_their_records(spark, quake_dir, tmp_path_factory):
+    """The same rows as from whole documents, however these are written."""
+    whole = landing.quake_files(spark, quake_dir)
+    wanted = sorted(map(str, whole.filter("_corrupt_record IS NULL").collect()))
+    features = json.loads(open(f"{quake_dir}/a.json").read())["features"]
+    texts = {
+        "close": compact({"type": "FeatureCollection", "features": features}),
+        "tail": compact({"type": "FeatureCollection", "metadata": {"count": 12}, "features": features, "bbox": [1, [2]]}),
+        "wide": json.dumps({"type": "FeatureCollection", "features": features}, indent=1),
+        "lines": '{"features": [\n' + " ,\n".join(map(compact, features)) + "\n] }\n",
+        # some features begin otherwise
+        "mixed": '{"features":[' + ",".join((json.dumps if i % 3 else compact)(f) for i, f in enumerate(features)) + "]}",
+        "late": '{"features":[' + ",".join((compact if i % 3 else json.dumps)(f) for i, f in enumerate(features)) + "]}",
+    }
+    for name, text in texts.items():
+        path = tmp_path_factory.mktemp(name)
+        (path / "a.json").write_text(text)
+        (path / "b.json").write_text('{"type":"FeatureCollection","features":[]}')
+        (path / "c.json").write_text("")
+        got = landing.quake_files(spark, str(path), record_start=landing.QUAKE_START)
+        assert got.columns == whole.columns
+        assert sorted(map(str, got.collect())) == wanted, name
+
+
+def test_cut_off_documents_keep_their_whole_records(spark, tmp_path):
+    text = compact({"type": "FeatureCollection", "features": [feature(f"q{i}") for i in range(9)]})
+    (tmp_path / "in-a-record.json").write_text(text[: text.rindex('"geometry"') - 4])
+    (tmp_path / "at-a-comma.json").write_text(text[: text.rindex('"geometry"')])  # a corrupt record, and no end
+    (tmp_path / "between.json").write_text(text[: text.rindex('{"type"')])
+    (tmp_path / "envelope.json").write_text('{"type":"FeatureCollection","features":[')
+    (tmp_path / "noise.json").write_text("not JSON at all")
+    rows = landing.quake_files(spark, str(tmp_path), record_start=landing.QUAKE_START).collect()
+    assert sorted(r["id"] for r in rows if r["_corrupt_record"] is None) == sorted([f"q{i}" for i in range(8)] * 3)
+    assert len([r for r in rows if r["_corrupt_record"] is not None]) == 6
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    text = compact({"type": "FeatureCollection", "features": [feature(f"q{i}") for i in range(20_000)]})
+    (tmp_path / "one.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text) // 10))
+    try:
+        rows = landing.quake_files(spark, str(tmp_path), record_start=landing.QUAKE_START)
+        tasks = rows.filter("id IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 20_000 and max(r["count"] for r in tasks) < 4_000
+
+
 def test_quakes(spark, quake_dir):
     rows = normalize.quake_candidates(landing.quake_files(spark, quake_dir), STAMP).collect()
     by_reason = {}
