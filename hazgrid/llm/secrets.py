@@ -2,8 +2,9 @@
 
 Two first-order Markov models over the characters of a token are trained: one on strings known
 to be random (what the patterns found), one on ordinary words and identifiers, both over all
-documents. A long token that no pattern covers is
-reported when its log-likelihood ratio, summed over its characters, reaches ``MARGIN``.
+documents. Long tokens are cut where a pattern's match begins or ends; a part that no pattern covers is
+reported when its log-likelihood ratio, summed over its characters, reaches ``MARGIN``, and else the stretch of it
+with the largest sum, if that does. So a random string is found behind an ordinary name, or next to a match.
 
 DataFrame and SQL functions only. Places come from the texts between the matches: ``split``
 gives them, and their lengths add up to where each match starts, in code points.
@@ -26,9 +27,11 @@ ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 LEAST_VALUE = 6
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+#: Characters of a token, a part of it, and a stretch that are judged, at least.
+LEAST_TOKEN = 16
 #: A token to be judged, and an ordinary one to learn from.
-TOKEN, ORDINARY = r"[A-Za-z0-9+/_=-]{16,}", r"[A-Za-z_][A-Za-z0-9_]{3,}"
-#: Nats by which a token must look random rather than ordinary.
+TOKEN, ORDINARY = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_TOKEN, r"[A-Za-z_][A-Za-z0-9_]{3,}"
+#: Nats by which a stretch must look random rather than ordinary.
 MARGIN = 12.0
 
 SPAN = "struct<start:int,end:int,kind:int,value:string>"
@@ -57,7 +60,7 @@ def spans(pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
 
 
 def base(rows: DataFrame) -> DataFrame:
-    """``rows`` (text, ...) with ``known``, the spans of the three patterns, and ``tokens``, long ones clear of them."""
+    """``rows`` (text, ...) with ``known``, the spans of the three patterns, and ``tokens``, what these leave of long ones."""
     each = rows.select(
         "*",
         spans(ASSIGN, 0, 2, LEAST_VALUE).alias("assigned"),
@@ -66,8 +69,23 @@ def base(rows: DataFrame) -> DataFrame:
         spans(TOKEN, 3).alias("long"),
     )
     joined = each.select("*", F.concat("assigned", "accessed", "hexed").alias("known"))
-    clear = "filter(long, t -> NOT exists(known, k -> k.start < t.end AND t.start < k.end))"
-    return joined.select("*", F.expr(clear).alias("tokens")).drop("assigned", "accessed", "hexed", "long")
+    return joined.select("*", F.expr(_CLEAR).alias("tokens")).drop("assigned", "accessed", "hexed", "long")
+
+
+#: Long tokens without the spans that they meet: parts begin at a token's start or a span's end, unless within another span.
+_CLEAR = f"""
+flatten(transform(
+  transform(long, t -> named_struct('t', t, 'near', filter(known, k -> k.start < t.end AND t.start < k.end))),
+  x -> IF(size(x.near) = 0, array(x.t), filter(
+    transform(
+      filter(
+        array_distinct(concat(array(x.t.start), transform(x.near, k -> k.end))),
+        s -> s < x.t.end AND NOT exists(x.near, k -> k.start <= s AND s < k.end)),
+      s -> transform(
+        array(coalesce(array_min(transform(filter(x.near, k -> k.start >= s), k -> k.start)), x.t.end)),
+        e -> named_struct('start', s, 'end', e, 'kind', x.t.kind,
+          'value', substr(x.t.value, s - x.t.start + 1, e - s)))[0]),
+    part -> part.end - part.start >= {LEAST_TOKEN}))))"""
 
 
 def _transitions(tokens: DataFrame) -> dict[tuple[str, str], int]:
@@ -110,20 +128,33 @@ def train(known: DataFrame, texts: DataFrame) -> list[list[float]]:
 
 
 def likely_random(tokens: str, table: list[list[float]], margin: float = MARGIN) -> Column:
-    """Of the column ``tokens`` (array of ``SPAN``) those whose log-likelihood ratio reaches the margin."""
+    """Those of the column ``tokens`` (array of ``SPAN``) whose sum of ratios reaches the margin; of others the best stretch that does.
+
+    A sum that falls below zero is given up, and a new stretch begins at the next character; of equal sums the first
+    counts. A stretch of fewer than ``LEAST_TOKEN`` characters is none.
+    """
     cells = ",".join(f"{x:.5f}" for row in table for x in row)
     size = len(ALPHABET)
+    # a stretch is known by the numbers of its first and last character
     ratio = f"""
     aggregate(
       slice(split(t.value, ''), 2, length(t.value)),
-      named_struct('sum', 0D, 'last', instr('{ALPHABET}', substr(t.value, 1, 1))),
-      (acc, c) -> named_struct(
-        'sum', acc.sum + element_at(cell, (acc.last - 1) * {size} + instr('{ALPHABET}', c)),
-        'last', instr('{ALPHABET}', c)),
-      acc -> acc.sum)"""
+      named_struct('total', 0D, 'sum', 0D, 'from', 0, 'at', 0, 'best', 0D, 'first', 0, 'to', 0,
+        'last', instr('{ALPHABET}', substr(t.value, 1, 1))),
+      (acc, c) -> transform(
+        array(element_at(cell, (acc.last - 1) * {size} + instr('{ALPHABET}', c))),
+        step -> named_struct(
+          'total', acc.total + step, 'sum', greatest(acc.sum + step, 0D),
+          'from', IF(acc.sum + step > 0, acc.from, acc.at + 1), 'at', acc.at + 1,
+          'best', greatest(acc.best, acc.sum + step), 'first', IF(acc.sum + step > acc.best, acc.from, acc.first),
+          'to', IF(acc.sum + step > acc.best, acc.at + 1, acc.to), 'last', instr('{ALPHABET}', c)))[0],
+      acc -> IF(acc.total >= {margin}, named_struct('best', acc.total, 'start', t.start, 'end', t.end),
+        named_struct('best', acc.best, 'start', t.start + acc.first, 'end', t.start + acc.to + 1)))"""
     # the table is a literal: split and cast are folded when the query is planned
     ratio = ratio.replace("cell", f"CAST(split('{cells}', ',') AS array<double>)")
-    return F.expr(f"filter({tokens}, t -> {ratio} >= {margin})")
+    stretches = f"filter(transform({tokens}, t -> {ratio}), s -> s.best >= {margin} AND s.end - s.start >= {LEAST_TOKEN})"
+    kind = len(KINDS) - 1
+    return F.expr(f"transform({stretches}, s -> named_struct('start', s.start, 'end', s.end, 'kind', {kind}, 'value', ''))")
 
 
 def scan(docs: DataFrame, text: str = "text", margin: float = MARGIN) -> DataFrame:

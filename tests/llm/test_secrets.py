@@ -66,6 +66,59 @@ def test_markov_models_tell_random_strings_from_words(spark):
     assert found[5001] == found[5002] == found[3] == []
 
 
+def test_random_strings_beside_names_and_matches(spark):
+    words = "the quick brown fox reads internationalization_of_documents and some_long_ordinary_configuration_name"
+    rows = [(i, f"{words} {i}") for i in range(300)]
+    rows += [(1000 + i, f"password={hashlib.sha256(bytes([i])).hexdigest()[:22]}") for i in range(200)]
+    key, hexed = "9f3a0c1e7b2d8046f5a3", "0123456789abcdef01234567"
+    name = "some_long_ordinary_configuration_name"
+    rows += [(5000, f"see {name}={key} there"), (5001, f"at /{hexed}/{key}"), (5002, f"{name}={name}"), (5003, f"{name}/{hexed}")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(docs).collect()}
+    [(kind, start, end)] = found[5000]
+    assert kind == "markov" and end == 4 + len(name) + 1 + len(key) and abs(start - (4 + len(name) + 1)) <= 2
+    kinds = [kind for kind, _, _ in found[5001]]
+    assert kinds[0] == "hex" and "markov" in kinds
+    assert all(start >= 4 + len(hexed) for kind, start, _ in found[5001] if kind == "markov")
+    assert found[5002] == [] and [kind for kind, _, _ in found[5003]] == ["hex"]
+
+
+def stretch_of(value, table, margin):
+    """The whole, or the best stretch by trying all."""
+    at = {c: i for i, c in enumerate(secrets.ALPHABET)}
+    steps = [round(table[at[a]][at[b]], 5) for a, b in zip(value, value[1:])]
+    if sum(steps) >= margin:
+        return sum(steps), (0, len(value))
+    sums = [(round(sum(steps[i:j]), 6), -i, -j) for i in range(len(steps)) for j in range(i + 1, len(steps) + 1)]
+    best, i, j = max(sums)
+    return best, (-i, -j + 1) if best >= margin and -j + 1 + i >= secrets.LEAST_TOKEN else None
+
+
+def test_stretches_and_parts_against_all_of_them(spark):
+    import random
+
+    draw = random.Random(3)
+    table = [[draw.gauss(-0.1, 1.5) for _ in secrets.ALPHABET] for _ in secrets.ALPHABET]
+    values = ["".join(draw.choices(secrets.ALPHABET, k=draw.randint(16, 60))) for _ in range(300)]
+    rows = [(i, [(7, 7 + len(v), 3, v)]) for i, v in enumerate(values)]
+    tokens = spark.createDataFrame(rows, f"id int, tokens array<{secrets.SPAN}>")
+    got = {r.id: [(s.start - 7, s.end - 7) for s in r.found]
+           for r in tokens.select("id", secrets.likely_random("tokens", table, 5.0).alias("found")).collect()}
+    wanted = {i: [s] if (s := stretch_of(v, table, 5.0)[1]) else [] for i, v in enumerate(values)}
+    assert got == wanted and 50 < sum(map(len, wanted.values())) < 300
+
+    texts = ["".join(draw.choice(["/", "=", "plain_name_of_it", "f" * 24, "AKIA" + "B" * 18, "token=abcdefgh", " ", "Xy" * 9, "="]) for _ in range(9)) for _ in range(200)]
+    out = secrets.base(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    for row in out:
+        covered = {i for k in row.known for i in range(k.start, k.end)}
+        parts = []
+        for m in re.finditer(secrets.TOKEN, row.text):
+            free = "".join("x" if i not in covered else " " for i in range(m.start(), m.end()))
+            parts += [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer("x{16,}", free)]
+        assert sorted((t.start, t.end) for t in row.tokens) == parts
+        assert all(row.text[t.start : t.end] == t.value for t in row.tokens)
+
+
 def test_models_count_all_rows(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     texts = [f"plain_words here, password={i:06d} and {i}" for i in range(6000)]
