@@ -91,12 +91,13 @@ flatten(transform(
 def _transitions(tokens: DataFrame) -> dict[tuple[str, str], int]:
     """How often a character follows another in the ``token`` column.
 
-    Tasks add up their own pairs first; the few characters that the patterns allow bound the result.
+    Equal tokens are looked at once and count as often as they occur. Tasks add up their own tokens and
+    pairs first; the few characters that the patterns allow bound the result.
     """
-    letters = tokens.select(F.split("token", "").alias("c"))
+    letters = tokens.groupBy("token").count().select(F.split("token", "").alias("c"), "count")
     pairs = "transform(sequence(1, size(c) - 1), i -> concat(c[i - 1], c[i]))"
-    each = letters.filter(F.size("c") > 1).select(F.explode(F.expr(pairs)).alias("pair"))
-    return {tuple(row["pair"]): row["count"] for row in each.groupBy("pair").count().collect()}
+    each = letters.filter(F.size("c") > 1).select(F.explode(F.expr(pairs)).alias("pair"), "count")
+    return {tuple(row["pair"]): row["n"] for row in each.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
 
 
 def _log_probabilities(counts: dict[tuple[str, str], int]) -> list[list[float]]:
