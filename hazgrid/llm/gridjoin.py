@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import components, stored
 
 LEAST = 0.98
-#: Axes of the grid, classes in a block on average, rows of an interval that is compared as it is.
-AXES, BLOCK, LEAF = 8, 4_096, 128
+#: Axes of the grid, axes that blocks meet by, classes in a block on average, rows of an interval that is compared as it is.
+AXES, MEETING, BLOCK, LEAF = 8, 2, 4_096, 128
 #: Classes that the principal axes are computed from at most; any axes give the same result.
 SAMPLE = 20_000
 #: Added to epsilon when boxes are compared, far above rounding and far below epsilon.
@@ -87,20 +87,25 @@ def _in_grid(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFrame:
 def _near_blocks(points: DataFrame, epsilon: float) -> DataFrame:
     """Pairs (one, two) of blocks of a part, one <= two, whose boxes come within epsilon.
 
-    Blocks meet by the cells of the first axis that they reach.
+    Blocks meet by the cells of the first ``MEETING`` axes that their boxes reach: a block is a short
+    range of the grid order, so its box is narrow on one of them at least.
     """
     width = points.select(F.max(F.size("place"))).first()[0] or 1
     ends = [f(F.col("place")[i]).alias(f"{n}{i}") for i in range(width) for f, n in ((F.min, "low"), (F.max, "high"))]
-    reach = (F.min(F.col("cell")[0]).alias("first"), F.max(F.col("cell")[0]).alias("last"))
-    boxes = stored(points.groupBy("part", "block").agg(*reach, *ends), "grid-blocks")
+    boxes = stored(points.groupBy("part", "block").agg(*ends), "grid-blocks")
     named = lambda side: [F.col(c).alias(f"{side}_{c}") for c in boxes.columns if c != "part"]
-    left = boxes.select("part", *named("l"), F.explode(F.sequence("first", "last")).alias("at"))
-    right = boxes.select("part", *named("r"), F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("at"))
+    left, right = boxes.select("part", *named("l")), boxes.select("part", *named("r"))
+    meeting = [f"at{i}" for i in range(min(MEETING, width))]
+    cell = lambda column, by: F.floor((F.col(column) + by) / epsilon)
+    for i, at in enumerate(meeting):
+        left = left.withColumn(at, F.explode(F.sequence(cell(f"l_low{i}", 0.0), cell(f"l_high{i}", 0.0))))
+        near = F.sequence(cell(f"r_low{i}", -epsilon - SLACK), cell(f"r_high{i}", epsilon + SLACK))
+        right = right.withColumn(at, F.explode(near))
     gap = lambda i: F.greatest(
         F.col(f"l_low{i}") - F.col(f"r_high{i}"), F.col(f"r_low{i}") - F.col(f"l_high{i}"), F.lit(0.0)
     )
     distance = sum((gap(i) * gap(i) for i in range(width)), F.lit(0.0))
-    met = left.join(right, ["part", "at"]).filter("l_block <= r_block").filter(distance <= (epsilon + SLACK) ** 2)
+    met = left.join(right, ["part", *meeting]).filter("l_block <= r_block").filter(distance <= (epsilon + SLACK) ** 2)
     return met.select(F.col("l_block").alias("one"), F.col("r_block").alias("two")).distinct()
 
 
