@@ -43,8 +43,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's ids (packed, see ``bpe``), their number, and whether they decode to its text."""
-    ids = bpe.encoded(docs.select(*DOCUMENT_COLUMNS), TOKENIZER)
+    """Each document's ids (packed, see ``bpe``), their number, and whether they decode to its text.
+
+    Ids are stored before they are decoded: in one plan a task would hold a worker that encodes
+    beside one that decodes, and as workers change places each would come to hold the memory of both.
+    """
+    ids = stored(bpe.encoded(docs.select("doc_id", "lang", "source", "text"), TOKENIZER), "pipeline-ids")
     both = bpe.decoded(ids, TOKENIZER)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return both.select("doc_id", "lang", "source", bpe.n_tokens().alias("n_tokens"), "ids", same.alias("round_trip"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -41,11 +40,41 @@ def _tangled(text: str) -> bool:
     return blanks or bool(_odd_blank(text) or _joined_mark(text))
 
 
+#: Bytes of a unit that its marks tell; the first 0 to 8 bytes of eight, the first in the lowest place; an odd number.
+SHORT, _FIRST, _SPREAD = 15, np.array([(1 << 8 * n) - 1 for n in range(9)], "u8"), np.uint64(0x9E3779B97F4A7C15)
+
+
+def marks(units: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of 64 bits for each unit, which differ for all units of up to ``SHORT`` bytes; of longer ones two hashes.
+
+    The second holds the size and the bytes from the ninth on, the first those before, moved by
+    the second, so that beginnings that units share do not make it equal.
+    """
+    if not len(units):
+        return np.zeros(0, "u8"), np.zeros(0, "u8")
+    ends = np.frombuffer(units.buffers()[1], "i4")[units.offset : units.offset + len(units) + 1]
+    data = b"".join([units.buffers()[2] or b"", bytes(16)])
+    # eight bytes from any place on
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    first, size = ends[:-1], np.diff(ends)
+    key = words[first] & _FIRST[np.minimum(size, 8)]
+    check = words[np.where(size > 8, first + 8, first)] & _FIRST[np.clip(size - 8, 0, SHORT - 8)]
+    check |= np.minimum(size, 255).astype("u8") << np.uint64(56)
+    key += check * _SPREAD
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        texts = units.take(pa.array(long)).to_pylist()
+        key[long] = np.fromiter(map(hash, texts), "i8", len(long)).view("u8")
+        other = np.fromiter((hash(text[::-1] + "\0") for text in texts), "i8", len(long)).view("u8")
+        check[long] = other | np.uint64(1 << 63)  # which no number of a short unit has
+    return key, check
+
+
 class Known:
-    """Ids of units in sorted arrays, some 30 bytes each; a unit is known by 96 bits of two hashes of it."""
+    """Ids of units in sorted arrays, some 35 bytes each; a unit is known by its ``marks``."""
 
     def __init__(self):
-        self.key, self.check = np.zeros(0, "i8"), np.zeros(0, "u4")
+        self.key, self.check = np.zeros(0, "u8"), np.zeros(0, "u8")
         self.first, self.size = np.zeros(0, "i8"), np.zeros(0, "u4")
         self.pool = np.zeros(0, "<u4")
 
@@ -100,10 +129,9 @@ class Memory:
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if added else None
         self.old, self.fresh = Known(), Known()
 
-    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _units(self, units: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct units, one after the other, and how many each has."""
-        key = np.fromiter(map(hash, units), "i8", len(units))
-        check = np.fromiter((zlib.crc32(unit.encode()) for unit in units), "u4", len(units))
+        key, check = marks(units)
         places = []
         missing = np.ones(len(units), bool)
         for known in (self.old, self.fresh):
@@ -111,7 +139,7 @@ class Memory:
             places.append((known, at, there))
             missing &= ~there
         new = np.flatnonzero(missing)
-        packed = list(self.encode_units([units[i] for i in new]))
+        packed = list(self.encode_units(units.take(pa.array(new)).to_pylist()))
         pool, size = np.frombuffer(b"".join(packed), "<u4"), np.fromiter(map(len, packed), "i8", len(packed)) // 4
         sizes, firsts = np.zeros(len(units), "i8"), np.zeros(len(units), "i8")
         sizes[new], firsts[new] = size, np.cumsum(size) - size
@@ -146,7 +174,7 @@ class Memory:
         for i, part in enumerate(self.cut(text) if self.cut else [text]):
             found.extend([self.added[part]] if i % 2 else pieces(part))
         distinct = list(dict.fromkeys(unit for unit in found if isinstance(unit, str)))
-        ids, sizes = self._units(distinct)
+        ids, sizes = self._units(pa.array(distinct, pa.string()))
         number = {unit: i for i, unit in enumerate(distinct)}
         tokens = sorted({unit for unit in found if isinstance(unit, int)})
         number |= {token: len(distinct) + i for i, token in enumerate(tokens)}
@@ -168,7 +196,7 @@ class Memory:
             marked = pc.replace_substring(marked, mark, to)
         cut = pc.split_pattern(marked, "\0")
         numbered = cut.values.dictionary_encode()
-        ids, ends = self._numbered(numbered.indices.to_numpy(), *self._units(numbered.dictionary.to_pylist()))
+        ids, ends = self._numbered(numbered.indices.to_numpy(), *self._units(numbered.dictionary))
         return ids, np.diff(np.concatenate([[0], ends])[cut.offsets.to_numpy()])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +219,7 @@ class Memory:
                 some, size = [], 0
         if some:
             done.append(self._encode(some))
+        pa.default_memory_pool().release_unused()  # or a worker keeps what cutting took at most
         if not done:
             return np.zeros(0, "<u4"), np.zeros(0, "i8")
         return np.concatenate([ids for ids, _ in done]), np.concatenate([sizes for _, sizes in done])

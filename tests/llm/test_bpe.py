@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,6 +61,30 @@ def test_a_full_memory_changes_nothing(monkeypatch):
     assert found.tolist() == [i for t in texts for i in library(t)]
 
 
+def test_units_are_told_apart_without_strings_of_them(monkeypatch):
+    """Units that share beginnings, ends or zero bytes differ in their marks, and known ones are never made strings."""
+    draw = random.Random(5)
+    units = {"", "a", "a\0", "\0", "\0\0", "12345678", "12345678\0", "x" * 15, "x" * 16, "x" * 17, "é" * 7, "é" * 8, " 日本語テ"}
+    units |= {" begins" + "".join(draw.choices("abé", k=n)) for n in range(12) for _ in range(40)}
+    units |= {"".join(draw.choices("ab", k=n)) + " ends in this" for n in range(6) for _ in range(20)}
+    units = sorted(units)
+    key, check = pretoken.marks(pa.array(units, pa.string()))
+    assert len(set(key.tolist())) == len(set(zip(key.tolist(), check.tolist()))) == len(units)
+    again = pretoken.marks(pa.array(["left out", *units], pa.string()).slice(1))
+    assert (again[0] == key).all() and (again[1] == check).all()
+    assert [len(part) for part in pretoken.marks(pa.array([], pa.string()))] == [0, 0]
+
+    asked = []
+    memory = pretoken.Memory(lambda some: asked.append(some) or [unit.encode("utf-32-le") for unit in some], {})
+    texts = ["one two, three three." * 3, "two one"]
+    first = memory.encode(texts)
+    seen = sum(asked, [])
+    assert len(seen) == len(set(seen)) and "".join(map(chr, first[0].tolist())) == "".join(texts)
+    asked.clear()
+    second = memory.encode(texts)
+    assert not any(asked) and second[0].tolist() == first[0].tolist()
+
+
 def test_ids_without_meaning_in_utf8_decode_to_replacements():
     vocabulary = bpe.vocabulary(PATH)
     lone = [vocabulary.first[0xC3], vocabulary.first[0x41], vocabulary.first[0xE2], vocabulary.first[0x82]]

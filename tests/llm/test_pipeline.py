@@ -68,6 +68,12 @@ def test_bpe(steps):
         assert r.n_tokens == len(ids) and r.round_trip
 
 
+def test_bpe_holds_one_python_worker_a_task(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    plan = pipeline.token_ids(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EvalPython") == 1
+
+
 def test_columns_and_empty_tables(spark, sf_dir, steps):
     assert all(list(rows[0].asDict()) == DOCUMENT_COLUMNS for rows in steps[1:5])
     none = table(spark, sf_dir, "documents").filter("false").withColumn("gone", mixing.F.lit(1))
