@@ -12,6 +12,7 @@ asks for a range of ids or of one column skip all other pages.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from functools import lru_cache
 
@@ -43,6 +44,8 @@ COLUMNS = ["doc_id", "n_tokens", "tokens"]
 @lru_cache(maxsize=1)
 def library(path: str) -> Memory:
     """The tokenizers library's encoder for one file, with a memory of units; once in each worker process."""
+    # tasks share the cores out; threads of the library's own would spin beside them and hold memory each
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)

@@ -1,7 +1,11 @@
 """Token files read back must hold the library's ids in order, and skip what is not asked for."""
 
 import glob
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +15,7 @@ from tokenizers import Tokenizer
 from hazgrid.llm import queries, tokenfile
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+ROOT = Path(__file__).resolve().parents[2]
 LIBRARY = Tokenizer.from_file(PATH)
 
 
@@ -31,6 +36,17 @@ def test_query_equals_the_library(spark, sf_dir):
         start += len(ids)
 
 
+def test_the_library_starts_no_threads_in_a_worker():
+    code = (
+        "import os, sys; from hazgrid.llm import tokenfile; before = len(os.listdir('/proc/self/task'));"
+        "tokenfile.library(sys.argv[1]).encode([f'some text of thread {i}' for i in range(5000)]);"
+        "sys.exit(len([n for n in os.listdir('/proc/self/task')]) - before)"
+    )
+    # Arrow's own threads do not count: it is given one
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")} | {"OMP_NUM_THREADS": "1"}
+    assert subprocess.run([sys.executable, "-c", code, PATH], env=env, cwd=ROOT, timeout=120).returncode == 0
+
+
 def test_layout_and_odd_rows(spark, tmp_path):
     rows = [(i * 7 % 40, f"text {i} <|endoftext|> on\n", "x") for i in range(40)]
     rows += [(None, "no id", "x"), (3, None, None), (5, "", "x"), (6, "long " * 30_000, "x"), (9, "text", "x")]
